@@ -1,0 +1,5 @@
+"""No streaming operators: every input is a finite set of files.
+
+The stateless functions (file-name filters, ``subset``, brightness temperature, user
+functions written as DataFrame code) run unchanged on a streaming DataFrame.
+"""
