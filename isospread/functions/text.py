@@ -25,13 +25,6 @@ def case_number(case: Column) -> Column:
     return F.right(case, F.lit(3))
 
 
-def substrings(text: Column, length: Column) -> Column:
-    """Every distinct substring of ``text`` that is ``length`` characters long."""
-    starts = F.sequence(F.lit(1), F.length(text) - length + 1)
-    pieces = F.transform(starts, lambda i: F.substring(text, i, length))
-    return F.when(F.length(text) >= length, F.array_distinct(pieces))
-
-
 def parse_kwargs_column(text: Column) -> Column:
     """``k&&v_k&&v`` to a map. The last duplicate key wins; a malformed pair raises."""
     def add(found: Column, pair: Column) -> Column:

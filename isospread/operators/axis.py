@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -46,9 +47,15 @@ def first_n_timesteps(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def subset(df: DataFrame, **ranges: tuple[Any, Any]) -> DataFrame:
-    """Rows whose coordinates lie in closed ranges: ``subset(df, time=(a, b), lat=(-30, 30))``."""
-    for name, (low, high) in ranges.items():
-        df = df.filter(F.col(name).between(F.lit(low), F.lit(high)))
+    """Rows whose coordinates lie in closed ranges: ``subset(df, time=(a, b), lat=(-30, 30))``.
+
+    Bounds become literals of the column's own type, so that the comparison reaches the scan.
+    """
+    for name, bounds in ranges.items():
+        kind = df.schema[name].dataType
+        texts = (b.isoformat(sep=" ") if isinstance(b, datetime) else b for b in bounds)
+        low, high = (F.lit(b).cast(kind) for b in texts)
+        df = df.filter(F.col(name).between(low, high))
     return df
 
 

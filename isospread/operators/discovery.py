@@ -79,23 +79,33 @@ def contains_pairs(
     """Join rows of ``hay`` to the ``needles`` their text contains, as an equi-join.
 
     ``contains`` alone is no join key, so it would compare every row with every needle. Needles
-    have few distinct lengths: cutting the text into all its substrings of those lengths turns
+    have few distinct lengths: cutting the text into its substrings of those lengths turns
     containment into equality, exactly, and the join can be hashed, shuffled or broadcast.
-    The number of substrings is at most text length times number of lengths. Empty needles
-    match nothing. Keep needles distinct. Where the possible ``lengths`` are not given they are
-    read off the needles, which should then be settled.
+    The number of substrings is at most text length times number of lengths; a needle counts
+    at its first place in the text only, so that a pair comes out once.
+
+    Needles must be distinct, and empty ones match nothing. Where the possible ``lengths`` are
+    not given they are read off the needles, which should then be settled. A catalogue is small
+    in bytes but grows while it is cut, so it is first spread over all cores.
     """
     if lengths is None:
         length = F.length(needle_column)
-        found = needles.filter(length > 0).select(F.collect_set(length)).scalar()
+        sizes = needles.filter(length > 0).select(F.collect_set(length)).scalar()
     else:
-        found = F.array(*map(F.lit, lengths))
-    pieces = text.substrings(F.col(hay_column), F.col("_length"))
+        sizes = F.array(*map(F.lit, lengths))
+    cores = hay.sparkSession.sparkContext.defaultParallelism
+    whole, size, start = F.col(hay_column), F.col("_size"), F.col("_start")
+    pieces = (
+        hay.repartition(cores, hay_column)
+        .withColumn("_size", F.explode(sizes))
+        .filter(F.length(whole) >= size)
+        .withColumn("_start", F.explode(F.sequence(F.lit(1), F.length(whole) - size + 1)))
+        .withColumn(needle_column, F.substring(whole, start, size))
+    )
     return (
-        hay.withColumn("_length", F.explode(found))
-        .withColumn(needle_column, F.explode(pieces))
-        .drop("_length")
-        .join(needles, [*on, needle_column])
+        pieces.join(needles, [*on, needle_column])
+        .filter(F.instr(whole, F.col(needle_column)) == start)
+        .drop("_size", "_start")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from isospread.functions.physics import TBRT_ATTRS, brightness_temperature
+from isospread.sources.storage import settle
 
 MEMBER = "ensemble_member"
 GROUP_ROWS = 5_000_000
+MEMBERS_GATHERED = 1_000
 
 
 def require_member(df: DataFrame, where: str) -> DataFrame:
@@ -86,20 +89,51 @@ def concat_members(members: Mapping[str, DataFrame]) -> DataFrame:
     return whole.select(MEMBER, *(c for c in whole.columns if c != MEMBER))
 
 
-def concat_members_dense(cube: DataFrame, variables: Sequence[str]) -> DataFrame:
+def concat_members_dense(
+    cube: DataFrame, variables: Sequence[str], gather: int = MEMBERS_GATHERED
+) -> DataFrame:
     """Every member at every coordinate of any member, padded with NULL.
 
-    Rows of a merged cube are unique, so a coordinate gathers at most one row per member. The
-    member names come from a scalar subquery, and the padded rows are made where the
-    coordinate was grouped: one shuffle, and no product of members and coordinates to join.
+    The members are counted. Up to ``gather`` of them, each coordinate collects its at most one
+    row per member and the padded rows are made on the spot: one shuffle, and nothing to join.
+    Beyond that, coordinates meet the members in buckets of names, and the data is joined back.
     """
     keys = [c for c in cube.columns if c not in (MEMBER, *variables)]
-    names = cube.select(F.array_sort(F.collect_set(MEMBER))).scalar()
+    names = settle(cube.select(MEMBER).distinct())
+    count = names.count()
+    if count <= gather:
+        return _pad_in_place(cube, keys, variables, names)
+    return _pad_by_join(cube, keys, variables, names, math.ceil(count / gather))
+
+
+def _pad_in_place(
+    cube: DataFrame, keys: list[str], variables: Sequence[str], names: DataFrame
+) -> DataFrame:
+    listed = names.select(F.array_sort(F.collect_list(MEMBER))).scalar()
     cell = F.struct(F.col(MEMBER).alias("name"), F.struct(*variables).alias("cell"))
-    gathered = cube.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(cell)).alias("cells")
+    padded = (
+        cube.groupBy(*keys)
+        .agg(F.map_from_entries(F.collect_list(cell)).alias("_cells"))
+        .withColumn(MEMBER, F.explode(listed))
+        .withColumn("_cell", F.try_element_at("_cells", F.col(MEMBER)))
     )
-    padded = gathered.withColumn(MEMBER, F.explode(names)).withColumn(
-        "cell", F.try_element_at("cells", F.col(MEMBER))
+    return padded.select(MEMBER, *keys, *(F.col("_cell")[v].alias(v) for v in variables))
+
+
+def _pad_by_join(
+    cube: DataFrame, keys: list[str], variables: Sequence[str], names: DataFrame, buckets: int
+) -> DataFrame:
+    bucket = F.pmod(F.xxhash64(MEMBER), F.lit(buckets))
+    lists = names.groupBy(bucket.alias("_bucket")).agg(F.collect_list(MEMBER).alias("_names"))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))
+    wanted = (
+        cube.select(*keys)
+        .distinct()
+        .withColumn("_bucket", F.explode(numbers))
+        .join(lists, "_bucket")
+        .select(*keys, F.explode("_names").alias(MEMBER))
     )
-    return padded.select(MEMBER, *keys, *(F.col("cell")[v].alias(v) for v in variables))
+    data = cube.select(*(F.col(c).alias(f"_{c}") for c in (MEMBER, *keys)), *variables)
+    # Coordinates such as lev can be NULL.
+    same = [F.equal_null(c, f"_{c}") for c in (MEMBER, *keys)]
+    return wanted.join(data, same, "left").select(MEMBER, *keys, *variables)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from isospread.functions.physics import (
 )
 from isospread.sources.storage import broadcast_if_small
 
+SHORT_COLUMN = 1_000
+
 
 def pressure_from_hybrid(
     cube: DataFrame,
@@ -44,31 +47,57 @@ def _interpolated(target: Column) -> Column:
     return F.when(target == p, value).when(target > p, between)
 
 
+def _bracket_ends(
+    nodes: DataFrame, keys: Sequence[str], levels_hpa: Sequence[float]
+) -> DataFrame:
+    """The lowest and highest node of each stretch between two neighbouring target levels.
+
+    No other node can be next to a target level, so the interpolated values stay the same,
+    while a column shrinks to at most two nodes per stretch before it is gathered, however
+    many nodes or copies it has.
+    """
+    bounds = sorted(100.0 * level for level in levels_hpa)
+    passed = [F.when(F.col("p0") >= b, F.lit(1)).otherwise(F.lit(0)) for b in bounds]
+    reached = [F.when(F.col("p0") > b, F.lit(1)).otherwise(F.lit(0)) for b in bounds]
+    stretch = reduce(lambda a, b: a + b, passed + reached)
+    low = F.min(F.struct(F.col("p0").alias("p"), F.col("v0").alias("v")))
+    high = F.max(F.struct(F.col("p0").alias("p"), (-F.col("v0")).alias("v")))
+    ends = nodes.groupBy(*keys, stretch.alias("_stretch")).agg(low.alias("l"), high.alias("h"))
+    both = F.array(
+        F.struct(F.col("l.p").alias("p0"), F.col("l.v").alias("v0")),
+        F.struct(F.col("h.p").alias("p0"), (-F.col("h.v")).alias("v0")),
+    )
+    return ends.select(*keys, F.inline(both))
+
+
 def interp_to_pressure(
     nodes: DataFrame,
     column: Sequence[str],
     value: str,
     pressure: str = "pressure",
     levels_hpa: Sequence[float] = STANDARD_LEVELS_HPA,
-    unique_nodes: bool = False,
+    bounded: bool = False,
 ) -> DataFrame:
     """Interpolate a field linearly in pressure: one row per column and target level.
 
     A level outside the column's range is NULL. Nodes with a missing value are ignored; of
     several nodes at one pressure the smallest value counts. Each column is sorted once, and
     every target level is emitted by the segment that holds it, so there is no join with the
-    levels. A column then occupies one task for as many rows as it has distinct pressures;
-    copies are collapsed before the shuffle unless the caller knows that there are none.
+    levels.
+
+    A column is sorted within one task. Unless the caller knows that its length is ``bounded``,
+    it is first reduced to the nodes that can matter, by an aggregation that starts before the
+    shuffle.
     """
     keys = list(column)
-    valid = null_if_nan(F.col(value)).isNotNull()
+    valid = null_if_nan(F.col(value)).isNotNull() & F.col(pressure).isNotNull()
     found = nodes.select(
         *keys,
         F.when(valid, F.col(pressure)).alias("p0"),
-        F.when(F.col(pressure).isNotNull(), null_if_nan(F.col(value))).alias("v0"),
+        F.when(valid, F.col(value)).alias("v0"),
     )
-    if not unique_nodes:
-        found = found.groupBy(*keys, "p0").agg(F.min("v0").alias("v0"))
+    if not bounded:
+        found = _bracket_ends(found, keys, levels_hpa)
 
     upward = Window.partitionBy(*keys).orderBy(F.col("p0").asc_nulls_last(), "v0")
     segments = (
@@ -107,9 +136,8 @@ def remap_hybrid_to_pressure(
     """Remap a merged field from hybrid levels to pressure levels; ``lev`` becomes ``plev``.
 
     A merged cube has one row per column and level, so a column has at most as many nodes as
-    there are coefficients and needs no collapsing.
+    there are coefficients. These are counted: few mean that columns are short.
     """
     placed = pressure_from_hybrid(cube, coefficients, surface_pressure, column, lev, p0)
-    return interp_to_pressure(
-        placed, column, value, levels_hpa=levels_hpa, unique_nodes=True
-    )
+    short = coefficients.limit(SHORT_COLUMN + 1).count() <= SHORT_COLUMN
+    return interp_to_pressure(placed, column, value, levels_hpa=levels_hpa, bounded=short)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -212,8 +213,7 @@ def first_n_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def subset_time_space(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, last = (pd.Timestamp(2024, 1, d).to_pydatetime() for d in (5, 20))
-    times = tuple(F.lit(t).cast("timestamp_ntz") for t in (first, last))
+    times = datetime(2024, 1, 5), datetime(2024, 1, 20)
     return axis.subset(fixture(spark, sf_dir, "fx_cube"), time=times, lat=(4.0, 20.0))
 
 
@@ -292,7 +292,7 @@ def interp_to_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = fixture(spark, sf_dir, "fx_hybrid")
     pressure = physics.hybrid_pressure(F.col("hyam"), F.col("hybm"), F.col("ps"))
     placed = nodes.withColumn("pressure", pressure)
-    levels = vertical.interp_to_pressure(placed, COLUMN, "value", unique_nodes=True)
+    levels = vertical.interp_to_pressure(placed, COLUMN, "value")
     return _rounded(levels, "value")
 
 

@@ -29,9 +29,12 @@ class RunResult(NamedTuple):
 
 
 def discover_cases(catalog: DataFrame, options: RunOptions) -> DataFrame:
-    """Distinct case names of the ensemble, split runs glued together."""
+    """Distinct case names of the ensemble, split runs glued together.
+
+    The names are settled, because pairing reads them twice and the catalogue can be long.
+    """
     files = catalogs.scan_for_discovery(catalog)
-    names = discovery.case_names(files, options.ensemble)
+    names = settle(discovery.case_names(files, options.ensemble))
     return discovery.pair_cases(names, options.ensemble, options.match)
 
 
