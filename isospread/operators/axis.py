@@ -21,26 +21,26 @@ def first_n_members(df: DataFrame, n: int = 2, column: str = MEMBER) -> DataFram
     return df.join(F.broadcast(first), column, "left_semi")
 
 
-def time_cutoffs(df: DataFrame, n: int = 10) -> DataFrame:
+def time_cutoffs(df: DataFrame, n: int = 10, member: str = MEMBER) -> DataFrame:
     """Each member's ``n``-th distinct time, or its last: one row per member.
 
     Only distinct labels are ranked, and the rank limit is applied before their shuffle.
     """
-    ranked = df.select(MEMBER, "time").distinct().withColumn(
-        "step", F.row_number().over(Window.partitionBy(MEMBER).orderBy("time"))
+    ranked = df.select(member, "time").distinct().withColumn(
+        "step", F.row_number().over(Window.partitionBy(member).orderBy("time"))
     )
-    return ranked.filter(F.col("step") <= n).groupBy(MEMBER).agg(F.max("time").alias("cutoff"))
+    return ranked.filter(F.col("step") <= n).groupBy(member).agg(F.max("time").alias("cutoff"))
 
 
-def first_n_timesteps(df: DataFrame, n: int = 10) -> DataFrame:
+def first_n_timesteps(df: DataFrame, n: int = 10, member: str = MEMBER) -> DataFrame:
     """Rows at each member's first ``n`` distinct times.
 
     The cutoffs are computed first, from the member and time columns alone, so that the main
     pass is a filter against a counted broadcast table and does not shuffle the cells.
     """
-    cutoffs = broadcast_if_small(settle(time_cutoffs(df, n)))
+    cutoffs = broadcast_if_small(settle(time_cutoffs(df, n, member)))
     return (
-        df.join(cutoffs, MEMBER)
+        df.join(cutoffs, member)
         .filter(F.col("time") <= F.col("cutoff"))
         .select(*df.columns)
     )

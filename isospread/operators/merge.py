@@ -16,19 +16,66 @@ from isospread.functions.physics import null_if_nan
 from isospread.sources.storage import broadcast_if_small, settle
 
 MEMBER = "ensemble_member"
+MEMBER_NUMBER = "member_number"
+FILE_ORDER = "file_order"
+ENDS = {"min": F.min, "max": F.max}
 
 
-def coordinates(df: DataFrame, without: Sequence[str] = ("var", "path", "value")) -> list[str]:
+def coordinates(
+    df: DataFrame, without: Sequence[str] = ("var", "path", "value", FILE_ORDER)
+) -> list[str]:
     """The key columns of a table of cells."""
     return [c for c in df.columns if c not in without]
 
 
-def label_members(cells: DataFrame, case_files: DataFrame) -> DataFrame:
-    """Cells with the member their file belongs to.
+def rising_numbers(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Distinct values of a text column with a number that rises in their order.
+
+    A range-partitioned sort with partition-wise increasing ids: no single task sees all
+    values. The numbers are fixed only once the result is settled.
+    """
+    ordered = df.select(column).distinct().orderBy(column)
+    return ordered.withColumn(name, F.monotonically_increasing_id())
+
+
+def number_files(case_files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Numbers in place of long names, so that no cell carries its path or member name.
+
+    Returns the files as ``(path, member_number, file_order)`` and the members' names, both
+    settled.
+    """
+    names = settle(
+        rising_numbers(case_files, "casename", MEMBER_NUMBER).withColumnRenamed("casename", MEMBER)
+    )
+    order = settle(rising_numbers(case_files, "path", FILE_ORDER))
+    numbered = (
+        case_files.withColumnRenamed("casename", MEMBER)
+        .join(names, MEMBER)
+        .join(order, "path")
+        .select("path", MEMBER_NUMBER, FILE_ORDER)
+    )
+    return settle(numbered), names
+
+
+def number_cells(cells: DataFrame, files: DataFrame) -> DataFrame:
+    """Cells with their member's number and their file's place in path order.
 
-    ``case_files`` holds files, not cells. Pass it settled: it is counted, and broadcast when
-    it is small, so that labelling does not shuffle the cells.
+    ``files`` holds files, not cells. Pass it settled: it is counted, and broadcast when it is
+    small, so that the cells are not shuffled.
     """
+    return cells.join(broadcast_if_small(files), "path").drop("path")
+
+
+def name_members(df: DataFrame, names: DataFrame | None) -> DataFrame:
+    """Put names in place of member numbers; ``None`` means that there are none to replace."""
+    if names is None:
+        return df
+    others = [c for c in df.columns if c != MEMBER_NUMBER]
+    return df.join(broadcast_if_small(names), MEMBER_NUMBER).select(MEMBER, *others)
+
+
+def label_members(cells: DataFrame, case_files: DataFrame) -> DataFrame:
+    """Cells with the name of the member their file belongs to; pass ``case_files`` settled."""
     members = broadcast_if_small(case_files.withColumnRenamed("casename", MEMBER))
     columns = [c for c in cells.columns if c != MEMBER]
     return cells.join(members, "path").select(MEMBER, *columns)
@@ -61,25 +108,28 @@ def _value_of(var: str) -> Column:
     return F.when(F.col("var") == var, null_if_nan(F.col("value")))
 
 
-def merge_no_conflicts(cells: DataFrame, variables: Sequence[str]) -> DataFrame:
+def merge_no_conflicts(
+    cells: DataFrame, variables: Sequence[str], names: DataFrame | None = None
+) -> DataFrame:
     """One column per variable; values of the same cell must agree or be missing.
 
     A conflict raises when the variable's column is computed. The result is unique on its
-    coordinates.
+    coordinates. ``names`` replaces member numbers once the cells are grouped.
     """
-    keys = coordinates(cells)
     extremes = [
-        pick(_value_of(v)).alias(f"{v}_{name}")
+        pick(_value_of(v)).alias(f"{v}_{end}")
         for v in variables
-        for name, pick in (("min", F.min), ("max", F.max))
+        for end, pick in ENDS.items()
     ]
+    grouped = name_members(cells.groupBy(*coordinates(cells)).agg(*extremes), names)
+    keys = [c for c in grouped.columns if c not in {f"{v}_{end}" for v in variables for end in ENDS}]
 
     def checked(v: str) -> Column:
         low, high = F.col(f"{v}_min"), F.col(f"{v}_max")
         message = F.concat_ws(" ", F.lit(f"conflicting values of {v}:"), *_shown(keys))
         return F.when(low != high, F.raise_error(message)).otherwise(high).alias(v)
 
-    return cells.groupBy(*keys).agg(*extremes).select(*keys, *map(checked, variables))
+    return grouped.select(*keys, *map(checked, variables))
 
 
 def find_conflicts(cells: DataFrame) -> DataFrame:
@@ -93,40 +143,32 @@ def find_conflicts(cells: DataFrame) -> DataFrame:
     )
 
 
-def file_order(paths: DataFrame) -> DataFrame:
-    """Distinct paths with a number that rises in path order.
-
-    A range-partitioned sort with partition-wise increasing ids: no single task sees all paths.
-    """
-    ordered = paths.select("path").distinct().orderBy("path")
-    return ordered.withColumn("file_order", F.monotonically_increasing_id())
-
-
 def merge_override(
-    cells: DataFrame, variables: Sequence[str], files: DataFrame | None = None
+    cells: DataFrame, variables: Sequence[str], names: DataFrame | None = None
 ) -> DataFrame:
     """One column per variable; the first file in path order wins, even with a missing value.
 
-    Paths are replaced by their order number first: the aggregation state is then numeric and
-    the shuffle carries eight bytes instead of a path per cell. ``files`` lists the paths, to
-    save reading them off the cells.
+    Paths are replaced by their order number first, unless the cells carry it already: the
+    aggregation state is then numeric and the shuffle carries no path.
     """
-    keys = coordinates(cells)
-    order = broadcast_if_small(settle(file_order(cells if files is None else files)))
-    numbered = cells.join(order, "path").drop("path")
+    if FILE_ORDER not in cells.columns:
+        order = settle(rising_numbers(cells, "path", FILE_ORDER))
+        cells = number_cells(cells, order)
 
     def first(v: str) -> Column:
-        rank = F.when(F.col("var") == v, F.col("file_order"))
+        rank = F.when(F.col("var") == v, F.col(FILE_ORDER))
         return F.min_by(null_if_nan(F.col("value")), rank).alias(v)
 
-    return numbered.groupBy(*keys).agg(*map(first, variables))
+    return name_members(
+        cells.groupBy(*coordinates(cells)).agg(*map(first, variables)), names
+    )
 
 
 def merge(
-    cells: DataFrame, variables: Sequence[str], mode: str, files: DataFrame | None = None
+    cells: DataFrame, variables: Sequence[str], mode: str, names: DataFrame | None = None
 ) -> DataFrame:
     if mode == "no_conflicts":
-        return merge_no_conflicts(cells, variables)
+        return merge_no_conflicts(cells, variables, names)
     if mode == "override":
-        return merge_override(cells, variables, files)
+        return merge_override(cells, variables, names)
     raise ValueError(f"unknown merge mode {mode!r}")

@@ -166,7 +166,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _case_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog = catalogs.catalog_of_cells(fixture(spark, sf_dir, "fx_cells"))
+    catalog = settle(catalogs.catalog_of_cells(fixture(spark, sf_dir, "fx_cells")))
     cases = settle(run.discover_cases(catalog, CELL_OPTIONS))
     return settle(run.case_files_of(catalog, cases, CELL_OPTIONS))
 
@@ -367,7 +367,7 @@ def ensemble_brightness_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for the first two members and ten time steps, by the override rule."""
     cells = fixture(spark, sf_dir, "fx_cells")
     options = RunOptions(LE, "day_1", ("FLNT",), test_members=True, test_times=True)
-    catalog = catalogs.catalog_of_cells(cells)
+    catalog = settle(catalogs.catalog_of_cells(cells))
     found = run.discover_cases(catalog, options)
     cases = settle(axis.first_n_members(found, column="casename"))
     case_files = settle(run.case_files_of(catalog, cases, options))

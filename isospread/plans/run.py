@@ -62,16 +62,18 @@ def analyse_members(
     preprocess: Preprocess | None = None,
     analyse: Analyse | None = None,
 ) -> DataFrame:
-    """Label, truncate, merge, preprocess and analyse all members in one plan.
+    """Find each cell's member, truncate, merge, preprocess and analyse in one plan.
 
-    ``case_files`` should be settled, being counted as well as joined.
-    Truncation comes before the merge, so that dropped times are never shuffled.
+    ``case_files`` should be settled, being read several times. Truncation comes before the
+    merge, so that dropped times are never shuffled. Until the cells are merged a member is a
+    number.
     """
+    files, names = merge.number_files(case_files)
     wanted = discovery.keep_variables(cells, options.variables)
-    labelled = merge.label_members(wanted, case_files)
+    numbered = merge.number_cells(wanted, files)
     if options.truncates_time:
-        labelled = axis.first_n_timesteps(labelled, TEST_TIMES)
-    cube = merge.merge(labelled, options.variables, options.merge_mode, case_files)
+        numbered = axis.first_n_timesteps(numbered, TEST_TIMES, merge.MEMBER_NUMBER)
+    cube = merge.merge(numbered, options.variables, options.merge_mode, names)
     if preprocess is not None and not options.skip_preprocess:
         cube = members.apply_native(cube, preprocess, dict(options.preprocess_kwargs))
     if analyse is not None:

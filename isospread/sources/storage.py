@@ -33,16 +33,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and cut its lineage.
+    """Compute ``df`` once into a table in the shared folder, and read it from there.
 
     Meant for catalogue-sized tables that are both measured and joined: without it the
-    measurement and the join would each recompute them.
+    measurement and the join would each recompute them. The stored table has no lineage to
+    recompute when an executor is lost, and its size is known to the optimizer.
     """
-    context = df.sparkSession.sparkContext
-    folder = shared_dir(df.sparkSession)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -68,7 +68,7 @@ def test_first_file_in_path_order_wins_even_if_missing(spark):
 
 def test_file_order_follows_paths(spark):
     paths = spark.range(1000).select(F.format_string("/d/%04d.nc", F.col("id")).alias("path"))
-    rows = merge.file_order(paths.repartition(7)).collect()
+    rows = merge.rising_numbers(paths.repartition(7), "path", "file_order").collect()
     by_order = [r.path for r in sorted(rows, key=lambda r: r.file_order)]
     assert by_order == sorted(by_order) and len(by_order) == 1000
 
@@ -140,3 +140,23 @@ def test_label_beyond_the_broadcast_limit(spark, monkeypatch):
     assert merge.label_members(table, case_files).count() == 9
     found = merge.merge_override(merge.label_members(table, case_files), ["A"])
     assert found.count() == 9
+    files, names = merge.number_files(case_files)
+    for mode in ("override", "no_conflicts"):
+        cube = merge.merge(merge.number_cells(table, files), ["A"], mode, names)
+        assert cube.columns == ["ensemble_member", "time", "lat", "A"] and cube.count() == 9
+
+
+def test_numbered_members_merge_like_named_ones(spark):
+    table = cells(
+        spark, ("A", "/a.nc", 1.0, 1.0), ("A", "/b.nc", 1.0, 2.0), ("A", "/c.nc", 1.0, 5.0)
+    ).drop("ensemble_member")
+    case_files = spark.createDataFrame(
+        [("x", "/a.nc"), ("y", "/b.nc"), ("y", "/c.nc")], "casename STRING, path STRING"
+    )
+    files, names = merge.number_files(case_files)
+    numbered = merge.number_cells(table, files)
+    assert "path" not in numbered.columns and "ensemble_member" not in numbered.columns
+    rows = merge.merge(numbered, ["A"], "override", names).collect()
+    assert sorted((r.ensemble_member, r["A"]) for r in rows) == [("x", 1.0), ("y", 2.0)]
+    with pytest.raises(Exception, match="conflicting values of A: ensemble_member=y"):
+        merge.merge(numbered, ["A"], "no_conflicts", names).collect()
