@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from isospread import registry
 from isospread.functions import text
 from isospread.registry import CASE_DELIMITER, Ensemble, resolve_ensemble
+from isospread.sources.storage import settle
 
 
 def keep_containing(df: DataFrame, column: str, token: str) -> DataFrame:
@@ -69,44 +70,36 @@ def case_names(files: DataFrame, ensemble: str | Ensemble) -> DataFrame:
 
 
 def contains_pairs(
-    hay: DataFrame,
-    hay_column: str,
-    needles: DataFrame,
-    needle_column: str,
-    on: Iterable[str] = (),
-    lengths: Iterable[int] | None = None,
+    hay: DataFrame, hay_column: str, needles: DataFrame, needle_column: str, on: Iterable[str] = ()
 ) -> DataFrame:
     """Join rows of ``hay`` to the ``needles`` their text contains, as an equi-join.
 
     ``contains`` alone is no join key, so it would compare every row with every needle. Needles
-    have few distinct lengths: cutting the text into its substrings of those lengths turns
-    containment into equality, exactly, and the join can be hashed, shuffled or broadcast.
-    The number of substrings is at most text length times number of lengths; a needle counts
-    at its first place in the text only, so that a pair comes out once.
-
-    Needles must be distinct, and empty ones match nothing. Where the possible ``lengths`` are
-    not given they are read off the needles, which should then be settled. A catalogue is small
-    in bytes but grows while it is cut, so it is first spread over all cores.
+    have few distinct lengths and first characters: cutting the text, wherever such a character
+    stands, into pieces of those lengths turns containment into equality, exactly, and the join
+    can be hashed, shuffled or broadcast. A pair comes out once for each place of the needle.
+    Empty needles match nothing.
+
+    The lengths and first characters, both bounded by what a name can be, are looked up first,
+    so pass the needles settled. A catalogue is small in bytes but grows while it is cut, so it
+    is spread over all cores.
     """
-    if lengths is None:
-        length = F.length(needle_column)
-        sizes = needles.filter(length > 0).select(F.collect_set(length)).scalar()
-    else:
-        sizes = F.array(*map(F.lit, lengths))
-    cores = hay.sparkSession.sparkContext.defaultParallelism
-    whole, size, start = F.col(hay_column), F.col("_size"), F.col("_start")
+    needle, whole = F.col(needle_column), F.col(hay_column)
+    shape = needles.filter(F.length(needle) > 0).agg(
+        F.collect_set(F.length(needle)).alias("lengths"),
+        F.collect_set(F.left(needle, F.lit(1))).alias("heads"),
+    ).first()
+    lengths = F.array(*map(F.lit, shape.lengths)).cast("array<int>")
     pieces = (
-        hay.repartition(cores, hay_column)
-        .withColumn("_size", F.explode(sizes))
-        .filter(F.length(whole) >= size)
-        .withColumn("_start", F.explode(F.sequence(F.lit(1), F.length(whole) - size + 1)))
-        .withColumn(needle_column, F.substring(whole, start, size))
-    )
-    return (
-        pieces.join(needles, [*on, needle_column])
-        .filter(F.instr(whole, F.col(needle_column)) == start)
-        .drop("_size", "_start")
+        hay.repartition(hay.sparkSession.sparkContext.defaultParallelism, hay_column)
+        .select("*", F.posexplode(F.split(whole, "")).alias("_place", "_head"))
+        .filter(F.col("_head").isin(shape.heads))
+        .withColumn("_length", F.explode(lengths))
+        .filter(F.col("_place") + F.col("_length") <= F.length(whole))
+        .withColumn(needle_column, F.substring(whole, F.col("_place") + 1, F.col("_length")))
+        .drop("_place", "_head", "_length")
     )
+    return pieces.join(needles, [*on, needle_column])
 
 
 def _glue(pairs: DataFrame, keys: list[str]) -> DataFrame:
@@ -128,7 +121,7 @@ def _pair_within(
     if match == "exact":
         return _glue(wanted, [*keys, "number"])
     numbers = wanted.select(*keys, "number").distinct()
-    pairs = contains_pairs(cases, "case", numbers, "number", keys, lengths=(1, 2, 3))
+    pairs = contains_pairs(cases, "case", settle(numbers), "number", keys).distinct()
     return _glue(pairs, [*keys, "number"])
 
 

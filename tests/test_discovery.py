@@ -145,6 +145,16 @@ def test_assignment_equals_brute_force_on_whole_paths(spark):
     assert sorted(map(tuple, found.collect())) == expected
 
 
+def test_containment_is_by_characters_and_needs_text(spark):
+    listed = files(spark, "b.Ä.é01.nc", "b.ab01.nc", "")
+    found = assign.assign_files(listed, cases(spark, "é01", "Ä.é", "01.nc&&", "ab01.ncx"))
+    assert sorted(map(tuple, found.collect())) == [
+        ("01.nc&&", "/data/T/b.ab01.nc"), ("01.nc&&", "/data/T/b.Ä.é01.nc"),
+        ("Ä.é", "/data/T/b.Ä.é01.nc"), ("é01", "/data/T/b.Ä.é01.nc"),
+    ]
+    assert assign.assign_files(listed, cases(spark, "x").filter("false")).count() == 0
+
+
 def test_assignment_by_parsed_name(spark):
     listed = files(
         spark, "b.f09_g17.X.001.cam.nc", "b.f09_g17.X.0012.cam.nc", "b.other.nc"
