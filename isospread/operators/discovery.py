@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from isospread import registry
 from isospread.functions import text
 from isospread.registry import CASE_DELIMITER, Ensemble, resolve_ensemble
-from isospread.sources.storage import settle
 
 
 def keep_containing(df: DataFrame, column: str, token: str) -> DataFrame:
@@ -121,7 +120,7 @@ def _pair_within(
     if match == "exact":
         return _glue(wanted, [*keys, "number"])
     numbers = wanted.select(*keys, "number").distinct()
-    pairs = contains_pairs(cases, "case", settle(numbers), "number", keys).distinct()
+    pairs = contains_pairs(cases, "case", numbers, "number", keys).distinct()
     return _glue(pairs, [*keys, "number"])
 
 
@@ -131,7 +130,7 @@ def pair_cases(
     """Glue historical and scenario runs of one member into one ``&&`` case name.
 
     The result is distinct ``casename`` rows. A glued name is the member's identity, one short
-    string per member number. ``cases`` must be distinct.
+    string per member number. ``cases`` must be distinct, and should be settled.
     """
     if match not in ("contains", "exact"):
         raise ValueError(f"match must be 'contains' or 'exact', not {match!r}")

@@ -38,23 +38,20 @@ def rising_numbers(df: DataFrame, column: str, name: str) -> DataFrame:
     return ordered.withColumn(name, F.monotonically_increasing_id())
 
 
-def number_files(case_files: DataFrame) -> tuple[DataFrame, DataFrame]:
+def number_files(case_files: DataFrame, ordered: bool) -> tuple[DataFrame, DataFrame]:
     """Numbers in place of long names, so that no cell carries its path or member name.
 
-    Returns the files as ``(path, member_number, file_order)`` and the members' names, both
-    settled.
+    Returns the files as ``(path, member_number)``, with ``file_order`` if they are to be
+    ``ordered``, and the members' names. Both come from one settled table and agree.
     """
-    names = settle(
-        rising_numbers(case_files, "casename", MEMBER_NUMBER).withColumnRenamed("casename", MEMBER)
-    )
-    order = settle(rising_numbers(case_files, "path", FILE_ORDER))
-    numbered = (
-        case_files.withColumnRenamed("casename", MEMBER)
-        .join(names, MEMBER)
-        .join(order, "path")
-        .select("path", MEMBER_NUMBER, FILE_ORDER)
-    )
-    return settle(numbered), names
+    files = case_files.withColumnRenamed("casename", MEMBER)
+    number = F.monotonically_increasing_id()
+    members = files.select(MEMBER).distinct().withColumn(MEMBER_NUMBER, number)
+    files = files.join(members, MEMBER)
+    if ordered:
+        files = files.join(rising_numbers(files, "path", FILE_ORDER), "path")
+    files = settle(files)
+    return files.drop(MEMBER), files.select(MEMBER_NUMBER, MEMBER).distinct()
 
 
 def number_cells(cells: DataFrame, files: DataFrame) -> DataFrame:

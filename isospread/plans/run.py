@@ -68,7 +68,7 @@ def analyse_members(
     merge, so that dropped times are never shuffled. Until the cells are merged a member is a
     number.
     """
-    files, names = merge.number_files(case_files)
+    files, names = merge.number_files(case_files, options.merge_mode == "override")
     wanted = discovery.keep_variables(cells, options.variables)
     numbered = merge.number_cells(wanted, files)
     if options.truncates_time:

@@ -140,7 +140,7 @@ def test_label_beyond_the_broadcast_limit(spark, monkeypatch):
     assert merge.label_members(table, case_files).count() == 9
     found = merge.merge_override(merge.label_members(table, case_files), ["A"])
     assert found.count() == 9
-    files, names = merge.number_files(case_files)
+    files, names = merge.number_files(case_files, ordered=True)
     for mode in ("override", "no_conflicts"):
         cube = merge.merge(merge.number_cells(table, files), ["A"], mode, names)
         assert cube.columns == ["ensemble_member", "time", "lat", "A"] and cube.count() == 9
@@ -153,7 +153,7 @@ def test_numbered_members_merge_like_named_ones(spark):
     case_files = spark.createDataFrame(
         [("x", "/a.nc"), ("y", "/b.nc"), ("y", "/c.nc")], "casename STRING, path STRING"
     )
-    files, names = merge.number_files(case_files)
+    files, names = merge.number_files(case_files, ordered=True)
     numbered = merge.number_cells(table, files)
     assert "path" not in numbered.columns and "ensemble_member" not in numbered.columns
     rows = merge.merge(numbered, ["A"], "override", names).collect()
