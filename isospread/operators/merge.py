@@ -32,7 +32,8 @@ def rising_numbers(df: DataFrame, column: str, name: str) -> DataFrame:
     """Distinct values of a text column with a number that rises in their order.
 
     A range-partitioned sort with partition-wise increasing ids: no single task sees all
-    values. The numbers are fixed only once the result is settled.
+    values, and a task that is run again numbers its sorted values the same way. Between two
+    executions the numbers may differ, so settle the result.
     """
     ordered = df.select(column).distinct().orderBy(column)
     return ordered.withColumn(name, F.monotonically_increasing_id())
@@ -45,9 +46,7 @@ def number_files(case_files: DataFrame, ordered: bool) -> tuple[DataFrame, DataF
     ``ordered``, and the members' names. Both come from one settled table and agree.
     """
     files = case_files.withColumnRenamed("casename", MEMBER)
-    number = F.monotonically_increasing_id()
-    members = files.select(MEMBER).distinct().withColumn(MEMBER_NUMBER, number)
-    files = files.join(members, MEMBER)
+    files = files.join(rising_numbers(files, MEMBER, MEMBER_NUMBER), MEMBER)
     if ordered:
         files = files.join(rising_numbers(files, "path", FILE_ORDER), "path")
     files = settle(files)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from isospread import RunOptions, run_ensemble
 from isospread.operators import axis, members
+from isospread.plans import run
 from isospread.sources import case_list, cells as cell_tables, results
 from isospread.sources.catalog import CATALOG_SCHEMA
 
@@ -168,6 +169,23 @@ def test_cells_are_pruned_by_variable(spark, tmp_path, capsys):
     assert "PartitionFilters: [" in out and "ReadSchema: struct<time:timestamp_ntz,value:double>" in out
 
 
+@pytest.mark.parametrize("data_freq", ["month_1", "day_1"])
+def test_user_subsetting_reaches_the_scan(spark, catalog, cells, tmp_path, capsys, data_freq):
+    chosen = options(tmp_path, skip_preprocess=False, data_freq=data_freq)
+    cases = run.discover_cases(catalog, chosen)
+    case_files = run.case_files_of(catalog, cases, chosen)
+
+    def preprocess(cube, kwargs):
+        return axis.subset(cube, time=(day(1), day(2)), lat=(1.0, 1.0))
+
+    found = run.analyse_members(cells, case_files, chosen, preprocess, members.brightness)
+    assert found.count() == 6
+    found.explain("formatted")
+    pushed = capsys.readouterr().out
+    assert "GreaterThanOrEqual(time," in pushed and "LessThanOrEqual(lat," in pushed
+    assert "SortMergeJoin" not in pushed and "SortAggregate" not in pushed
+
+
 def small_cube(spark, *names, value=1.0):
     rows = [(m, day(d), 0.0, value) for m in names for d in range(3)]
     return spark.createDataFrame(
