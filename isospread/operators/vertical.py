@@ -19,6 +19,25 @@ from isospread.functions.physics import (
 from isospread.sources.storage import broadcast_if_small
 
 SHORT_COLUMN = 1_000
+LEVEL_SALTS = 64
+
+
+def _is_short(coefficients: DataFrame) -> bool:
+    """Whether there are so few levels that a column of a merged cube must be short."""
+    return coefficients.limit(SHORT_COLUMN + 1).count() <= SHORT_COLUMN
+
+
+def _with_surface(
+    cube: DataFrame, surface_pressure: DataFrame, column: Sequence[str], lev: str, short: bool
+) -> DataFrame:
+    """Join each cell with its column's ``ps``; a long column is divided among tasks by level."""
+    surface = surface_pressure.select(*column, "ps")
+    if short:
+        return cube.join(surface, list(column))
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(LEVEL_SALTS - 1).cast("bigint"))
+    salt = F.pmod(F.xxhash64(lev), F.lit(LEVEL_SALTS))
+    salted = surface.withColumn("_salt", F.explode(salts))
+    return cube.withColumn("_salt", salt).join(salted, [*column, "_salt"]).drop("_salt")
 
 
 def pressure_from_hybrid(
@@ -31,11 +50,13 @@ def pressure_from_hybrid(
 ) -> DataFrame:
     """Add ``pressure`` (Pa) to each cell from its level's coefficients and its column's ``ps``.
 
-    The coefficient table has a row per level; it is counted before it is broadcast. Surface
-    pressure is as large as a horizontal field and joins on the column's coordinates.
+    The coefficient table has a row per level; pass it settled, since it is counted before it
+    is broadcast. Surface pressure is as large as a horizontal field and joins on the column's
+    coordinates. A merged cube has one row per column and level.
     """
     levels = broadcast_if_small(coefficients.select(lev, "hyam", "hybm"))
-    placed = cube.join(levels, lev).join(surface_pressure.select(*column, "ps"), list(column))
+    short = _is_short(coefficients)
+    placed = _with_surface(cube.join(levels, lev), surface_pressure, column, lev, short)
     pressure = hybrid_pressure(F.col("hyam"), F.col("hybm"), F.col("ps"), p0)
     return placed.select(*cube.columns, pressure.alias("pressure"))
 
@@ -139,5 +160,6 @@ def remap_hybrid_to_pressure(
     there are coefficients. These are counted: few mean that columns are short.
     """
     placed = pressure_from_hybrid(cube, coefficients, surface_pressure, column, lev, p0)
-    short = coefficients.limit(SHORT_COLUMN + 1).count() <= SHORT_COLUMN
-    return interp_to_pressure(placed, column, value, levels_hpa=levels_hpa, bounded=short)
+    return interp_to_pressure(
+        placed, column, value, levels_hpa=levels_hpa, bounded=_is_short(coefficients)
+    )

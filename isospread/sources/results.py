@@ -2,30 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 MEMBER = "ensemble_member"
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+MEMBERS_PER_TASK = 64
 
 
-def write_members(df: DataFrame, path: str, order: Sequence[str] = ("time", "lat", "lon")) -> None:
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """Let a task write several members' files side by side, unless the session already does."""
+    before = spark.conf.get(OPEN_FILES)
+    if before == "0":
+        spark.conf.set(OPEN_FILES, str(MEMBERS_PER_TASK))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES, before)
+
+
+def write_members(df: DataFrame, path: str, order: Sequence[str] = ("time",)) -> None:
     """Write each member under its own folder; other members' folders stay as they are.
 
     Rows are rebalanced by member: adaptive execution gives a large member several files of
-    about the advisory size and lets small members share a task.
+    about the advisory size and lets small members share a task. Within a task rows are sorted
+    by ``order`` only. With files open side by side there is no need to sort by member name
+    first, which takes several times as long as a sort by time. A task with more members than
+    it may hold open sorts the rest by member.
     """
     keys = [c for c in order if c in df.columns]
-    (
-        df.hint("rebalance", F.col(MEMBER))
-        .sortWithinPartitions(MEMBER, *keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MEMBER)
-        .parquet(path)
-    )
+    rebalanced = df.hint("rebalance", F.col(MEMBER))
+    if keys:
+        rebalanced = rebalanced.sortWithinPartitions(*keys)
+    with _open_files(df.sparkSession):
+        (
+            rebalanced.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MEMBER)
+            .parquet(path)
+        )
 
 
 def read_members(

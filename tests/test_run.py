@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,6 +206,24 @@ def test_rewriting_one_member_leaves_the_others(spark, tmp_path):
     assert results.read_members(spark, out, first.schema, "001").count() == 3
 
 
+def test_files_are_in_time_order(spark, tmp_path):
+    out = str(tmp_path / "m")
+    rows = spark.range(0, 5_000, 1, 4).select(
+        F.format_string("%03d", F.col("id") % 100).alias("ensemble_member"),
+        F.timestamp_add("HOUR", F.pmod(F.hash("id"), F.lit(500)), F.lit("2000-01-01").cast(
+            "timestamp_ntz")).alias("time"),
+        F.col("id").cast("double").alias("FLNT"),
+    )
+    before = spark.conf.get(results.OPEN_FILES)
+    results.write_members(rows, out)
+    assert spark.conf.get(results.OPEN_FILES) == before
+    saved = results.read_members(spark, out, rows.schema)
+    assert saved.exceptAll(rows).count() == 0 and saved.count() == 5_000
+    files = glob.glob(f"{out}/ensemble_member=001/part-*")
+    times = [t for f in files for t in pq.read_table(f).column("time").to_pylist()]
+    assert len(files) == 1 and len(times) == 50 and times == sorted(times)
+
+
 def test_a_large_member_is_written_by_several_tasks(spark, tmp_path):
     out = str(tmp_path / "m")
     hot = spark.range(0, 300_000, 1, 8).select(

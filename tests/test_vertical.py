@@ -80,7 +80,9 @@ def test_one_column_with_most_rows_is_reduced_before_it_is_sorted(spark):
     assert ends.count() <= 2 * (2 * len(STANDARD_LEVELS_HPA) + 1)
 
 
-def test_pressure_and_remap(spark):
+@pytest.mark.parametrize("short", [1_000, 2])
+def test_pressure_and_remap(spark, monkeypatch, short):
+    monkeypatch.setattr(vertical, "SHORT_COLUMN", short)
     coefficients = spark.createDataFrame(
         [(1.0, 0.1, 0.0), (2.0, 0.1, 0.4), (3.0, 0.0, 1.0)], "lev DOUBLE, hyam DOUBLE, hybm DOUBLE"
     )
