@@ -39,13 +39,18 @@ def discover_cases(catalog: DataFrame, options: RunOptions) -> DataFrame:
 
 
 def choose_cases(spark: SparkSession, catalog: DataFrame, options: RunOptions) -> DataFrame:
-    """The supplied case list if it is wanted and exists, else the discovered cases."""
+    """The supplied case list if it is wanted and exists, else the discovered cases.
+
+    Discovered cases are saved as the case list of the run.
+    """
     if options.use_provided_casenames:
         supplied = case_list.case_list_if_present(spark, options.case_list)
         if supplied is not None:
-            return supplied.distinct()
+            return settle(supplied.distinct())
         log.warning("no case list at %s; discovering cases", options.case_list)
-    return discover_cases(catalog, options)
+    cases = settle(discover_cases(catalog, options))
+    case_list.write_case_list(cases, options.case_list)
+    return cases
 
 
 def case_files_of(catalog: DataFrame, cases: DataFrame, options: RunOptions) -> DataFrame:
@@ -91,12 +96,10 @@ def run_ensemble(
 ) -> RunResult:
     """Find the members, analyse each the same way, and save them apart and combined.
 
-    The case list is saved unless it was supplied. With ``skip_analysis`` nothing else runs.
-    Members without files are reported and left out, or raise with ``strict``.
+    With ``skip_analysis`` only the cases are found. Members without files are reported and
+    left out, or raise with ``strict``.
     """
-    cases = settle(choose_cases(spark, catalog, options))
-    if not options.use_provided_casenames:
-        case_list.write_case_list(cases, options.case_list)
+    cases = choose_cases(spark, catalog, options)
     if options.skip_analysis:
         return RunResult(cases)
     if options.test_members:

@@ -73,6 +73,19 @@ def test_file_order_follows_paths(spark):
     assert by_order == sorted(by_order) and len(by_order) == 1000
 
 
+def test_file_order_survives_the_join_back(spark):
+    case_files = spark.range(2000).select(
+        F.format_string("m%02d", F.col("id") % 7).alias("casename"),
+        F.format_string("/d/%04d.nc", (F.col("id") * 977) % 2000).alias("path"),
+    )
+    files, names = merge.number_files(case_files.repartition(5), ordered=True)
+    rows = sorted(files.collect(), key=lambda r: r.file_order)
+    assert [r.path for r in rows] == sorted(r.path for r in rows)
+    by_number = {r.member_number: r.ensemble_member for r in names.collect()}
+    expected = {r.path: r.casename for r in case_files.collect()}
+    assert {r.path: by_number[r.member_number] for r in rows} == expected
+
+
 def test_merges_keep_numeric_state(spark):
     table = cells(spark, ("A", "p", 1.0, 1.0))
     for df in (merge.merge_no_conflicts(table, ["A"]), merge.merge_override(table, ["A"])):

@@ -121,6 +121,7 @@ def test_supplied_cases_and_preprocessing(spark, catalog, cells, tmp_path):
 def test_missing_case_list_falls_back_to_discovery(spark, catalog, cells, tmp_path):
     chosen = options(tmp_path, use_provided_casenames=True, skip_analysis=True)
     assert run_ensemble(spark, catalog, cells, chosen).cases.count() == 4
+    assert case_list.read_case_list(spark, chosen.case_list).count() == 4
 
 
 def test_strict_run_raises_for_members_without_files(spark, catalog, cells, tmp_path):
