@@ -32,8 +32,8 @@ def write_members(df: DataFrame, path: str, order: Sequence[str] = ("time",)) ->
     Rows are rebalanced by member: adaptive execution gives a large member several files of
     about the advisory size and lets small members share a task. Within a task rows are sorted
     by ``order`` only. With files open side by side there is no need to sort by member name
-    first, which takes several times as long as a sort by time. A task with more members than
-    it may hold open sorts the rest by member.
+    first, which costs far more than a sort by time. A task with more members than it may hold
+    open sorts the rest by member.
     """
     keys = [c for c in order if c in df.columns]
     rebalanced = df.hint("rebalance", F.col(MEMBER))
