@@ -3,7 +3,9 @@ import pandas as pd
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from isospread.plans.oracles import ORACLES
+from isospread.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,14 +19,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    found = queries()[name](spark, SF)
+    found = QUERIES[name](spark, SF)
     mine = check.normal(found.toPandas())
-    theirs = check.normal(duck.execute(oracle_sql()[name]).df())
+    theirs = check.normal(duck.execute(ORACLES[name]).df())
     assert len(mine) > 0
     pd.testing.assert_frame_equal(mine, theirs, check_dtype=False, rtol=0, atol=1e-9)
 
