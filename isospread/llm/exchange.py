@@ -48,6 +48,18 @@ def unsqueeze(blob: bytes) -> object:
     return pickle.loads(_CODEC.decompress(blob[8:], decompressed_size=size, asbytes=True))
 
 
+def freeze(block: pa.RecordBatch) -> bytes:
+    """The rows alone; pickling a slice would take the whole batch along."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, block.schema) as writer:
+        writer.write_batch(block)
+    return sink.getvalue().to_pybytes()
+
+
+def thaw(frozen: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(frozen).read_next_batch()
+
+
 def pack_sorted(keys: np.ndarray) -> np.ndarray:
     """Sorted 64-bit keys as differences, their bytes laid out by place, which compresses the
     high places away."""
@@ -127,7 +139,7 @@ class Exchange:
                 nonlocal serial, held, held_bytes
                 block = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                 number, serial, held, held_bytes = serial, serial + 1, [], 0
-                keys, blobs = [BLOCKS + number], [squeeze((number, "block", block))]
+                keys, blobs = [BLOCKS + number], [squeeze((number, "block", freeze(block)))]
                 for owner, part in ask(block, owners).items():
                     keys.append(owner)
                     blobs.append(squeeze((number, "ask", part)))
@@ -179,7 +191,7 @@ class Exchange:
                 for blob in parts.pop(number):
                     _, kind, part = unsqueeze(blob)
                     if kind == "block":
-                        block = part
+                        block = thaw(part)
                     else:
                         told[part[0]] = part[1]
                 yield from work(number, block, told)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isospread.llm.exchange import Exchange, deal, gathered, unpack_sorted
-from isospread.llm.words import SPACED, WORD_RUNS, Words, mix, run_hashes
+from isospread.llm.words import SPACED, Words, distinct_places, run_hashes, run_heads
 
 ORDER = 2
 ROUNDS = 50
@@ -41,8 +41,7 @@ FIELDS = (
 
 
 class _Grams:
-    """The n-grams of a block: distinct sorted keys, and the place among them of the k-gram that
-    ends at each token and of its context."""
+    """Keys of the n-grams of a block: of every order, the one that ends at each token."""
 
     def __init__(self, texts: pa.Array, order: int):
         words = Words(texts, SPACED, fold=True)
@@ -64,39 +63,48 @@ class _Grams:
         self.text_of = np.repeat(np.arange(len(counts)), self.n_tokens)
         self.first = heads - pad * np.arange(len(counts))
 
-        keys = []
-        for k in range(1, order + 1):
-            run = run_hashes(tokens, at - k + 1, at + 1)
-            keys.append(self._flag(run, k > 1))
-        begins = [
-            self._flag(mix(WORD_RUNS.runs(WORD_RUNS.totals(np.full(k, BEGIN)), *_ends(k))), True)
-            for k in range(1, order)
+        self.grams = [
+            self._flag(run_hashes(tokens, at - k + 1, at + 1), k > 1) for k in range(1, order + 1)
         ]
-        n = len(at)
-        everything = np.concatenate([*keys, *begins])
-        self.keys, place = np.unique(everything, return_inverse=True)
-        self.grams = [place[i * n : (i + 1) * n] for i in range(order)]
-        self.begins = place[order * n :]
-        self.contexts = []
-        for k in range(2, order + 1):
-            before = np.empty(n, dtype=np.int64)
-            before[1:] = self.grams[k - 2][:-1]
-            before[self.first] = self.begins[k - 2]
-            self.contexts.append(before)
+        self.begins = np.concatenate(
+            [self._flag(run_hashes(np.full(k, BEGIN), *_ends(k)), True) for k in range(1, order)]
+            or [np.zeros(0, dtype=np.uint64)]
+        )
 
     @staticmethod
     def _flag(keys: np.ndarray, longer: bool) -> np.ndarray:
         """The lowest bit tells tokens (0) from longer n-grams and the start of a text (1)."""
         return (keys & ~np.uint64(1)) | np.uint64(longer)
 
-    def seen(self, chosen: np.ndarray) -> np.ndarray:
-        """How often each key occurs in the chosen texts."""
-        out = np.zeros(len(self.keys), dtype=np.int64)
-        tokens = chosen[self.text_of]
-        for gram in self.grams:
-            out += np.bincount(gram[tokens], minlength=len(out))
-        out[self.begins] += int(chosen.sum())
-        return out.astype(np.uint32)
+    def contexts(self) -> list[np.ndarray]:
+        """For every order above 1, the key of what comes before each token."""
+        out = []
+        for gram, begin in zip(self.grams, self.begins):
+            before = np.empty_like(gram)
+            before[1:] = gram[:-1]
+            before[self.first] = begin
+            out.append(before)
+        return out
+
+    def keys(self, texts: np.ndarray | None = None) -> np.ndarray:
+        """Sorted keys of all occurrences, of all texts or of the chosen ones."""
+        begins = np.repeat(self.begins, len(self.first) if texts is None else int(texts.sum()))
+        if texts is None:
+            return np.sort(np.concatenate([*self.grams, begins]))
+        tokens = texts[self.text_of]
+        return np.sort(np.concatenate([*(g[tokens] for g in self.grams), begins]))
+
+
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    return ordered[run_heads(ordered)]
+
+
+def _times(distinct: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """How often each distinct key stands in a sorted array."""
+    out = np.zeros(len(distinct), dtype=np.uint32)
+    heads = np.flatnonzero(run_heads(ordered))
+    out[np.searchsorted(distinct, ordered[heads])] = np.diff(heads, append=len(ordered))
+    return out
 
 
 def _ends(k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +114,7 @@ def _ends(k: int) -> tuple[np.ndarray, np.ndarray]:
 def _answer(asked: list) -> dict:
     """Corpus counts of the keys asked for, and the owner's part of the corpus totals."""
     keys = [unpack_sorted(part[0]) for _, part in asked]
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    distinct, place = distinct_places(np.concatenate(keys))
     sums = []
     for which in (1, 2):
         each = np.concatenate([part[which] for _, part in asked])
@@ -124,16 +132,16 @@ def _answer(asked: list) -> dict:
     return told
 
 
-def _estimates(grams: _Grams, counts: np.ndarray, n: int) -> tuple[np.ndarray, list, np.ndarray]:
-    """Per token: the bucket of its longest context, the estimate of every order, and which of
-    these exist (their context was seen)."""
-    tokens = counts[grams.grams[0]]
-    estimates = [tokens / max(n, 1)]
-    exist = [np.full(len(tokens), n > 0)]
-    longest = np.full(len(tokens), n)
-    for gram, context in zip(grams.grams[1:], grams.contexts):
-        longest = counts[context]
-        estimates.append(counts[gram] / np.maximum(longest, 1))
+def _estimates(
+    grams: list[np.ndarray], contexts: list[np.ndarray], n: int
+) -> tuple[np.ndarray, list, np.ndarray]:
+    """From counts of n-grams and contexts, per token: the bucket of its longest context, the
+    estimate of every order, and which of these exist (their context was seen)."""
+    estimates = [grams[0] / max(n, 1)]
+    exist = [np.full(len(grams[0]), n > 0)]
+    longest = np.full(len(grams[0]), n)
+    for gram, longest in zip(grams[1:], contexts):
+        estimates.append(gram / np.maximum(longest, 1))
         exist.append(longest > 0)
     bucket = np.frexp(longest.astype(np.float64))[1]
     return bucket, estimates, np.array(exist)
@@ -202,28 +210,34 @@ def score(
     blocks = docs.select(*keep, F.col(text).alias("_text"), split.cast("int").alias("_split"))
     exchange = Exchange(blocks, blocks.columns, text="_text")
 
+    def split_of(block):
+        return block.column("_split").to_numpy(zero_copy_only=False)
+
     def ask(block, owners):
         grams = _Grams(block.column("_text"), order)
-        of = block.column("_split").to_numpy(zero_copy_only=False)
-        return deal(
-            grams.keys, owners, grams.seen(of == BASE), grams.seen(of == HELD), everyone=True
-        )
+        keys = _distinct(grams.keys())
+        of = split_of(block)
+        seen = [_times(keys, grams.keys(of == which)) for which in (BASE, HELD)]
+        return deal(keys, owners, *seen, everyone=True)
 
     def learnt(told):
         parts = gathered(told)
-        totals = sum(p[2] for p in parts)
-        base = np.concatenate([p[0] for p in parts]).astype(np.int64)
-        held = np.concatenate([p[1] for p in parts]).astype(np.int64)
-        return base, held, totals
+        base, held = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (0, 1))
+        return base, held, sum(p[2] for p in parts)
 
     def histogram(number, block, told):
         base, _, (n, kinds, _, _) = learnt(told)
         grams = _Grams(block.column("_text"), order)
-        mine = (block.column("_split").to_numpy(zero_copy_only=False) == HELD)[grams.text_of]
-        bucket, estimates, _ = _estimates(grams, base, n)
-        cell = bucket.astype(np.int64)[mine] << (_BITS * order)
+        keys = _distinct(grams.keys())
+        mine = (split_of(block) == HELD)[grams.text_of]
+
+        def counts(of):
+            return [base[np.searchsorted(keys, k[mine])] for k in of]
+
+        bucket, estimates, _ = _estimates(counts(grams.grams), counts(grams.contexts()), n)
+        cell = bucket.astype(np.int64) << (_BITS * order)
         for k, p in enumerate(estimates):
-            cell |= _bins(p[mine] * (kinds + 1)) << (_BITS * k)
+            cell |= _bins(p * (kinds + 1)) << (_BITS * k)
         for value, times in zip(*np.unique(cell, return_counts=True)):
             yield int(value), int(times)
 
@@ -234,16 +248,24 @@ def score(
 
     def scores(number, block, told):
         base, held, (_, _, n, kinds) = learnt(told)
-        counts = base + held
         grams = _Grams(block.column("_text"), order)
-        bucket, estimates, exist = _estimates(grams, counts, n)
+        places = distinct_places(np.concatenate([*grams.grams, grams.begins]))[1]
+        counts = (base + held)[places]
+        size = len(grams.text_of)
+        of_grams = [counts[k * size : (k + 1) * size] for k in range(order)]
+        of_contexts = []
+        for gram, begin in zip(of_grams, counts[order * size :]):
+            before = np.roll(gram, 1)
+            before[grams.first] = begin
+            of_contexts.append(before)
+        bucket, estimates, exist = _estimates(of_grams, of_contexts, n)
         w = weights[bucket].T
         total = w[0] / (kinds + 1)
         norm = w[0].copy()
         for k, p in enumerate(estimates):
             total += w[k + 1] * p
             norm += w[k + 1] * exist[k]
-        seen = counts[grams.grams[0]]
+        seen = of_grams[0]
         texts = len(grams.n_tokens)
 
         def summed(values):

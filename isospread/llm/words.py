@@ -18,6 +18,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 PIECE_BYTES = 4 << 20
+SEGMENT_BYTES = 256 << 10
 
 _codes = np.arange(256)
 SPACED = ~((_codes == 0x20) | ((_codes >= 0x09) & (_codes <= 0x0D)))
@@ -39,6 +40,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def run_heads(values: np.ndarray) -> np.ndarray:
+    """Where a new value begins in a sorted array."""
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    return new
+
+
+def distinct_places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct keys, and the place of each key among them.
+
+    Sorts the keys' high bits packed with their positions, which is faster than sorting
+    positions; where different keys agree in those bits, sorts positions after all.
+    """
+    bits = U64(max(len(keys) - 1, 1).bit_length())
+    packed = np.sort((keys >> bits << bits) | np.arange(len(keys), dtype=U64))
+    order = (packed & ((U64(1) << bits) - U64(1))).astype(np.int64)
+    ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+    new = run_heads(ordered)
+    places = np.empty(len(keys), dtype=np.int64)
+    places[order] = np.cumsum(new) - 1
+    return ordered[new], places
+
+
 class Polynomial:
     """Hashes of runs of values: sum of value[i] * base**i, taken back to the run's start."""
 
@@ -121,16 +148,24 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
     def hashes(self) -> np.ndarray:
-        table = _TABLE[LOWER] if self.fold else _TABLE
-        totals = _BYTES.totals(table[self.data])
-        return mix(_BYTES.runs(totals, self.starts, self.ends))
+        return self._hashes(self.ends)
 
     def prefix_hashes(self, n_bytes: int) -> np.ndarray:
         """Hashes of the first bytes of each word, or of all of a shorter one."""
+        return self._hashes(np.minimum(self.starts + n_bytes, self.ends))
+
+    def _hashes(self, ends: np.ndarray) -> np.ndarray:
+        """Some words at a time, so that working memory stays small whatever the texts' size."""
         table = _TABLE[LOWER] if self.fold else _TABLE
-        totals = _BYTES.totals(table[self.data])
-        ends = np.minimum(self.starts + n_bytes, self.ends)
-        return mix(_BYTES.runs(totals, self.starts, ends))
+        out = np.empty(len(self), dtype=U64)
+        low = 0
+        while low < len(self):
+            at = self.starts[low]
+            high = max(low + 1, int(np.searchsorted(self.ends, at + SEGMENT_BYTES, "right")))
+            totals = _BYTES.totals(table[self.data[at : self.ends[high - 1]]])
+            out[low:high] = _BYTES.runs(totals, self.starts[low:high] - at, ends[low:high] - at)
+            low = high
+        return mix(out)
 
     def word(self, w: int) -> bytes:
         raw = self.data[self.starts[w] : self.ends[w]]
