@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from isospread.llm.words import pieces
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 OWNER_BYTES = 8 << 20
 #: Keys of blocks begin here, those of owners at 0.
 BLOCKS = 1 << 40
