@@ -176,42 +176,49 @@ class Exchange:
                     key=lambda x: x[0],
                 )
                 for block, part in answer(questions).items():
-                    yield BLOCKS + block, squeeze((block, "answer", (owner, part)))
+                    yield BLOCKS + block, squeeze((block, owner, part))
 
         return self._deal(sent.mapPartitions(reply))
 
-    def _blocks(self, sent: RDD, answers: RDD, work: Callable) -> RDD:
+    def _blocks(self, work: Callable, sent: RDD, *answers: RDD) -> RDD:
+        rounds = len(answers)
+        together = sent.map(lambda x: (x[0], (0, x[1])), preservesPartitioning=True)
+        for i, told in enumerate(answers, start=1):
+            tag = _tagger(i)
+            together = together.union(told.map(tag, preservesPartitioning=True))
+        if together.getNumPartitions() != sent.getNumPartitions():
+            raise RuntimeError("blocks and their answers are dealt out differently")
+
         def each(pairs):
-            blocks, parts = {}, defaultdict(list)
+            parts = defaultdict(list)
             for key, blob in pairs:
                 if key >= BLOCKS:
                     parts[key - BLOCKS].append(blob)
             for number in sorted(parts):
-                block, told = None, {}
-                for blob in parts.pop(number):
-                    _, kind, part = unsqueeze(blob)
-                    if kind == "block":
-                        block = thaw(part)
+                block, told = None, [{} for _ in range(rounds)]
+                for i, blob in parts.pop(number):
+                    _, owner, part = unsqueeze(blob)
+                    if i:
+                        told[i - 1][owner] = part
                     else:
-                        told[part[0]] = part[1]
-                yield from work(number, block, told)
+                        block = thaw(part)
+                yield from work(number, block, *told)
 
-        both = sent.union(answers)
-        if both.getNumPartitions() != sent.getNumPartitions():
-            both = both.partitionBy(self.parts, self.place)
-        return both.mapPartitions(each)
+        return together.mapPartitions(each)
 
-    def ask_again(
-        self, sent: RDD, answers: RDD, ask: Callable[[int, pa.RecordBatch, Parts], Parts]
-    ) -> RDD:
-        """The next round's questions."""
+    def ask_again(self, ask: Callable[..., Parts], sent: RDD, *answers: RDD) -> RDD:
+        """The next round: ``ask(number, block, answers of each round so far)``."""
 
-        def work(number, block, told):
-            for owner, part in ask(number, block, told).items():
+        def work(number, block, *told):
+            for owner, part in ask(number, block, *told).items():
                 yield owner, squeeze((number, "ask", part))
 
-        return self._deal(self._blocks(sent, answers, work))
+        return self._deal(self._blocks(work, sent, *answers))
+
+    def finish(self, work: Callable, sent: RDD, *answers: RDD) -> RDD:
+        """What ``work(number, block, answers of each round)`` yields for each block."""
+        return self._blocks(work, sent, *answers)
+
 
-    def finish(self, sent: RDD, answers: RDD, work: Callable) -> RDD:
-        """What ``work(number, block, answers)`` yields for each block."""
-        return self._blocks(sent, answers, work)
+def _tagger(i: int) -> Callable:
+    return lambda x: (x[0], (i, x[1]))

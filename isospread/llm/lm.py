@@ -243,7 +243,7 @@ def score(
 
     sent = exchange.start(ask)
     answers = exchange.answers(sent, _answer)
-    cells = exchange.finish(sent, answers, histogram).reduceByKey(lambda a, b: a + b, 16)
+    cells = exchange.finish(histogram, sent, answers).reduceByKey(lambda a, b: a + b, 16)
     weights = learn_weights(dict(cells.collect()), order)
 
     def scores(number, block, told):
@@ -280,7 +280,7 @@ def score(
         yield from zip(*columns)
 
     kept = [f for f in blocks.schema.fields if f.name in keep]
-    rows = exchange.finish(sent, answers, scores)
+    rows = exchange.finish(scores, sent, answers)
     schema = T.StructType(kept + FIELDS.fields)
     return docs.sparkSession.createDataFrame(rows, schema, verifySchema=False)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isospread.llm import lm
+from isospread.llm import linededup, lm, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +23,34 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", _crc() % 7 == 2)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of passages that repeat."""
+    cut = substring.remove_repeats(_documents(spark, sf_dir), ["doc_id"])
+    return cut.select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+        "removed",
+    )
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that an earlier line nearly equals."""
+    cut = linededup.dedup_lines(_documents(spark, sf_dir), ["doc_id"])
+    return cut.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        "removed",
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op2_lm_scores": op2_lm_scores,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op7_line_dedup": op7_line_dedup,
 }
 
 ORACLES: dict[str, str] = {}
