@@ -26,6 +26,7 @@ from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from isospread.llm.memory import give_back
 from isospread.llm.words import pieces
 
 BLOCK_BYTES = 2 << 20
@@ -156,7 +157,7 @@ class Exchange:
             if held:
                 yield flush()
 
-        sent = self.docs.mapInArrow(cut, "key long, blob binary").rdd
+        sent = self.docs.mapInArrow(give_back(cut), "key long, blob binary").rdd
         return self._deal(sent.map(lambda row: (row[0], bytes(row[1]))))
 
     def _deal(self, pairs: RDD) -> RDD:
@@ -178,7 +179,7 @@ class Exchange:
                 for block, part in answer(questions).items():
                     yield BLOCKS + block, squeeze((block, owner, part))
 
-        return self._deal(sent.mapPartitions(reply))
+        return self._deal(sent.mapPartitions(give_back(reply)))
 
     def _blocks(self, work: Callable, sent: RDD, *answers: RDD) -> RDD:
         rounds = len(answers)
@@ -204,7 +205,7 @@ class Exchange:
                         block = thaw(part)
                 yield from work(number, block, *told)
 
-        return together.mapPartitions(each)
+        return together.mapPartitions(give_back(each))
 
     def ask_again(self, ask: Callable[..., Parts], sent: RDD, *answers: RDD) -> RDD:
         """The next round: ``ask(number, block, answers of each round so far)``."""
