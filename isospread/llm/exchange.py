@@ -18,16 +18,16 @@ from __future__ import annotations
 
 import pickle
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, TaskContext
+from pyspark import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from isospread.llm.memory import give_back
-from isospread.llm.words import pieces
 
 BLOCK_BYTES = 2 << 20
 OWNER_BYTES = 8 << 20
@@ -129,36 +129,36 @@ class Exchange:
         self.place = place
 
     def start(self, ask: Callable[[pa.RecordBatch, int], Parts]) -> RDD:
-        """Send every block on its way, with its first question."""
-        text, size, owners = self.text, self.block_bytes, self.owners
-
-        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            serial = TaskContext.get().partitionId() << 20
-            held, held_bytes = [], 0
-
-            def flush():
-                nonlocal serial, held, held_bytes
-                block = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                number, serial, held, held_bytes = serial, serial + 1, [], 0
-                keys, blobs = [BLOCKS + number], [squeeze((number, "block", freeze(block)))]
-                for owner, part in ask(block, owners).items():
-                    keys.append(owner)
-                    blobs.append(squeeze((number, "ask", part)))
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], ["key", "blob"]
-                )
+        """Send every block on its way, with its first question.
+
+        Rows come one by one, so that a task holds a block and not a batch of long texts.
+        """
+        size, owners = self.block_bytes, self.owners
+        schema = to_arrow_schema(self.docs.schema)
+        at = self.docs.columns.index(self.text)
+
+        def packed(number, rows):
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
+            block = pa.RecordBatch.from_arrays(columns, schema=schema)
+            yield BLOCKS + number, squeeze((number, "block", freeze(block)))
+            for owner, part in ask(block, owners).items():
+                yield owner, squeeze((number, "ask", part))
 
-            for batch in batches:
-                for piece in pieces(batch, text, size) if batch.num_rows else ():
-                    held.append(piece)
-                    held_bytes += piece.column(text).nbytes
-                    if held_bytes >= size:
-                        yield flush()
+        def cut(index, rows):
+            number, held, held_bytes = index << 20, [], 0
+            for row in rows:
+                held.append(row)
+                held_bytes += len(row[at]) if row[at] else 0
+                if held_bytes >= size:
+                    yield from packed(number, held)
+                    number, held, held_bytes = number + 1, [], 0
             if held:
-                yield flush()
+                yield from packed(number, held)
+
+        def run(index, rows):
+            yield from give_back(lambda it: cut(index, it))(rows)
 
-        sent = self.docs.mapInArrow(give_back(cut), "key long, blob binary").rdd
-        return self._deal(sent.map(lambda row: (row[0], bytes(row[1]))))
+        return self._deal(self.docs.rdd.mapPartitionsWithIndex(run))
 
     def _deal(self, pairs: RDD) -> RDD:
         return pairs.partitionBy(self.parts, self.place)
