@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isospread.llm import linededup, lm, substring
+from isospread.llm import linededup, lm, substring, tokens
+
+
+TOKENIZER = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
+
+
+def tokenizer_file() -> str:
+    """The vocabulary on this machine; it is sent to the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,10 +58,19 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, from its stored prefix counts."""
+    counted = tokens.count_prefixes(_documents(spark, sf_dir), tokenizer_file(), ["doc_id"])
+    return counted.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
 QUERIES = {
     "op2_lm_scores": op2_lm_scores,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLES: dict[str, str] = {}
