@@ -1,18 +1,77 @@
-"""The cleaning pipeline over ``documents``: each stage calls one operator."""
+"""The cleaning pipeline over ``documents``: each stage calls one operator.
+
+A stage takes the session, the documents that the stage before it kept, and the folder of the
+tables. All but the last return the columns they were given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from isospread.llm import decontam, jaccard, linededup, mix, toxicity
+from isospread.sources.storage import scratch_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents whose toxicity score is 0.5 or more."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    crc = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0))
+    index = toxicity.fit(docs, labels, crc % 5 != 0)
+    scored = toxicity.score(docs, index, docs.columns)
+    return scored.where(scored["predicted"] == 0).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without lines that an earlier one nearly equals; a document left without any words goes."""
+    cut = linededup.dedup_lines(docs, docs.columns)
+    emptied = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines"))
+    changed = cut.where(~emptied).withColumn("text", F.col("kept_text"))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed = changed.withColumn(
+            "n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars"))
+        )
+    return changed.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar ones."""
+    return jaccard.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that hold a window of a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontam.find_items(docs, benchmark, docs.columns)
+    return found.where(F.col("n_hit") == 0).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words, and which, a mix of the sources takes of each document."""
+    return mix.mix(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", decontaminate),
+    ("mixing sources to target weights", mix_sources),
+]
 
-#: The stages rest on hashes, learned models and seeded draws, which SQL can't express.
+#: The stages rest on learned models, hashes and seeded draws, which SQL can't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; each one's result is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for number, (_, stage) in enumerate(STAGES):
+        done = stage(spark, docs, sf_dir)
+        if number + 1 == len(STAGES):
+            return done
+        path = scratch_path(spark, f"stage-{number}")
+        done.write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
