@@ -24,24 +24,32 @@ def first_n_members(df: DataFrame, n: int = 2, column: str = MEMBER) -> DataFram
 def time_cutoffs(df: DataFrame, n: int = 10, member: str = MEMBER) -> DataFrame:
     """Each member's ``n``-th distinct time, or its last: one row per member.
 
-    Only distinct labels are ranked, and the rank limit is applied before their shuffle.
+    Only distinct labels are ranked, and the rank limit is applied before their shuffle. A
+    missing time is no label.
     """
-    ranked = df.select(member, "time").distinct().withColumn(
+    labels = df.select(member, "time").where(F.col("time").isNotNull()).distinct()
+    ranked = labels.withColumn(
         "step", F.row_number().over(Window.partitionBy(member).orderBy("time"))
     )
     return ranked.filter(F.col("step") <= n).groupBy(member).agg(F.max("time").alias("cutoff"))
 
 
 def first_n_timesteps(df: DataFrame, n: int = 10, member: str = MEMBER) -> DataFrame:
-    """Rows at each member's first ``n`` distinct times.
+    """Rows at each member's first ``n`` distinct times, and rows without a time.
 
     The cutoffs are computed first, from the member and time columns alone, so that the main
-    pass is a filter against a counted broadcast table and does not shuffle the cells.
+    pass is a filter against a small table and does not shuffle the cells. The last cutoff of
+    all members goes to the scan as a literal.
     """
-    cutoffs = broadcast_if_small(settle(time_cutoffs(df, n, member)))
+    cutoffs = settle(time_cutoffs(df, n, member))
+    # as text, so that a time without a zone never passes through the driver's
+    last = cutoffs.agg(F.max("cutoff").cast("string")).head()[0]
+    timeless = F.col("time").isNull()
+    if last is not None:
+        df = df.filter(timeless | (F.col("time") <= F.lit(last).cast(df.schema["time"].dataType)))
     return (
-        df.join(cutoffs, member)
-        .filter(F.col("time") <= F.col("cutoff"))
+        df.join(broadcast_if_small(cutoffs), member, "left")
+        .filter(timeless | (F.col("time") <= F.col("cutoff")))
         .select(*df.columns)
     )
 

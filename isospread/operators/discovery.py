@@ -90,7 +90,7 @@ def contains_pairs(
     ).first()
     lengths = F.array(*map(F.lit, shape.lengths)).cast("array<int>")
     pieces = (
-        hay.repartition(hay.sparkSession.sparkContext.defaultParallelism, hay_column)
+        hay.repartition(hay_column)
         .select("*", F.posexplode(F.split(whole, "")).alias("_place", "_head"))
         .filter(F.col("_head").isin(shape.heads))
         .withColumn("_length", F.explode(lengths))

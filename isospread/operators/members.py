@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -12,11 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from isospread.functions.physics import TBRT_ATTRS, brightness_temperature
-from isospread.sources.storage import settle
 
 MEMBER = "ensemble_member"
-GROUP_ROWS = 5_000_000
-MEMBERS_GATHERED = 1_000
 
 
 def require_member(df: DataFrame, where: str) -> DataFrame:
@@ -53,19 +49,15 @@ def apply_groups(
     function: Callable[[pd.DataFrame], pd.DataFrame],
     schema: StructType | str,
     within: Sequence[str],
-    max_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Apply a pandas function to whole groups of one member, such as a cell's time series.
 
-    A group must fit in a task, so a member is always divided by further keys, and the largest
-    group is counted first: beyond ``max_rows`` this raises and asks for more keys.
+    A group must fit in a task, so a member is always divided by further keys; pass finer ones
+    where groups are long. ``apply_blocks`` has no such bound.
     """
     if not within:
         raise ValueError("name keys that divide a member, e.g. ['lat', 'lon']")
     keys = [MEMBER, *within]
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest > max_rows:
-        raise ValueError(f"a group by {keys} has {largest} rows, more than {max_rows}; add keys")
     return require_member(df.groupBy(*keys).applyInPandas(function, schema), "the group function")
 
 
@@ -89,51 +81,26 @@ def concat_members(members: Mapping[str, DataFrame]) -> DataFrame:
     return whole.select(MEMBER, *(c for c in whole.columns if c != MEMBER))
 
 
-def concat_members_dense(
-    cube: DataFrame, variables: Sequence[str], gather: int = MEMBERS_GATHERED
-) -> DataFrame:
+def concat_members_dense(cube: DataFrame, variables: Sequence[str]) -> DataFrame:
     """Every member at every coordinate of any member, padded with NULL.
 
-    The members are counted. Up to ``gather`` of them, each coordinate collects its at most one
-    row per member and the padded rows are made on the spot: one shuffle, and nothing to join.
-    Beyond that, coordinates meet the members in buckets of names, and the data is joined back.
+    Each coordinate gathers its rows, one per member in a merged cube, and the members it lacks
+    are added on the spot: one shuffle, and nothing to join. A cell given twice stays twice. A
+    task holds the list of members and the rows of one coordinate.
     """
     keys = [c for c in cube.columns if c not in (MEMBER, *variables)]
-    names = settle(cube.select(MEMBER).distinct())
-    count = names.count()
-    if count <= gather:
-        return _pad_in_place(cube, keys, variables, names)
-    return _pad_by_join(cube, keys, variables, names, math.ceil(count / gather))
-
-
-def _pad_in_place(
-    cube: DataFrame, keys: list[str], variables: Sequence[str], names: DataFrame
-) -> DataFrame:
-    listed = names.select(F.array_sort(F.collect_list(MEMBER))).scalar()
-    cell = F.struct(F.col(MEMBER).alias("name"), F.struct(*variables).alias("cell"))
-    padded = (
-        cube.groupBy(*keys)
-        .agg(F.map_from_entries(F.collect_list(cell)).alias("_cells"))
-        .withColumn(MEMBER, F.explode(listed))
-        .withColumn("_cell", F.try_element_at("_cells", F.col(MEMBER)))
+    listed = cube.select(MEMBER).distinct().select(F.array_sort(F.collect_list(MEMBER))).scalar()
+    kinds = F.struct(*variables)
+    row = F.struct(F.col(MEMBER).alias("name"), kinds.alias("cell"))
+    gathered = cube.groupBy(*keys).agg(F.collect_list(row).alias("_rows"))
+    names = F.transform("_rows", lambda r: r["name"])
+    empty = F.struct(*(F.lit(None).cast(cube.schema[v].dataType).alias(v) for v in variables))
+    missing = F.transform(
+        F.array_except(F.col("_all"), names),
+        lambda name: F.struct(name.alias("name"), empty.alias("cell")),
     )
-    return padded.select(MEMBER, *keys, *(F.col("_cell")[v].alias(v) for v in variables))
-
-
-def _pad_by_join(
-    cube: DataFrame, keys: list[str], variables: Sequence[str], names: DataFrame, buckets: int
-) -> DataFrame:
-    bucket = F.pmod(F.xxhash64(MEMBER), F.lit(buckets))
-    lists = names.groupBy(bucket.alias("_bucket")).agg(F.collect_list(MEMBER).alias("_names"))
-    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))
-    wanted = (
-        cube.select(*keys)
-        .distinct()
-        .withColumn("_bucket", F.explode(numbers))
-        .join(lists, "_bucket")
-        .select(*keys, F.explode("_names").alias(MEMBER))
+    padded = gathered.withColumn("_all", listed).select(
+        *keys, F.explode(F.concat("_rows", missing)).alias("_row")
     )
-    data = cube.select(*(F.col(c).alias(f"_{c}") for c in (MEMBER, *keys)), *variables)
-    # Coordinates such as lev can be NULL.
-    same = [F.equal_null(c, f"_{c}") for c in (MEMBER, *keys)]
-    return wanted.join(data, same, "left").select(MEMBER, *keys, *variables)
+    cells = (F.col("_row")["cell"][v].alias(v) for v in variables)
+    return padded.select(F.col("_row")["name"].alias(MEMBER), *keys, *cells)

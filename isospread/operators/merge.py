@@ -109,8 +109,8 @@ def merge_no_conflicts(
 ) -> DataFrame:
     """One column per variable; values of the same cell must agree or be missing.
 
-    A conflict raises when the variable's column is computed. The result is unique on its
-    coordinates. ``names`` replaces member numbers once the cells are grouped.
+    A conflict in any of the variables raises, whichever of them are used later. The result is
+    unique on its coordinates. ``names`` replaces member numbers once the cells are grouped.
     """
     extremes = [
         pick(_value_of(v)).alias(f"{v}_{end}")
@@ -120,17 +120,20 @@ def merge_no_conflicts(
     grouped = name_members(cells.groupBy(*coordinates(cells)).agg(*extremes), names)
     keys = [c for c in grouped.columns if c not in {f"{v}_{end}" for v in variables for end in ENDS}]
 
-    def checked(v: str) -> Column:
-        low, high = F.col(f"{v}_min"), F.col(f"{v}_max")
+    def agrees(v: str) -> Column:
+        differ = F.col(f"{v}_min") != F.col(f"{v}_max")
         message = F.concat_ws(" ", F.lit(f"conflicting values of {v}:"), *_shown(keys))
-        return F.when(low != high, F.raise_error(message)).otherwise(high).alias(v)
+        return F.when(differ, F.raise_error(message).cast("boolean")).otherwise(True)
 
-    return grouped.select(*keys, *map(checked, variables))
+    # a filter, since a column that is not used would be pruned with its check
+    for v in variables:
+        grouped = grouped.filter(agrees(v))
+    return grouped.select(*keys, *(F.col(f"{v}_max").alias(v) for v in variables))
 
 
 def find_conflicts(cells: DataFrame) -> DataFrame:
     """Cells whose sources disagree, with the smallest and largest value."""
-    keys = coordinates(cells, ("path", "value"))
+    keys = coordinates(cells, ("path", "value", FILE_ORDER))
     value = null_if_nan(F.col("value"))
     return (
         cells.groupBy(*keys)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,27 +17,6 @@ from isospread.functions.physics import (
 )
 from isospread.sources.storage import broadcast_if_small
 
-SHORT_COLUMN = 1_000
-LEVEL_SALTS = 64
-
-
-def _is_short(coefficients: DataFrame) -> bool:
-    """Whether there are so few levels that a column of a merged cube must be short."""
-    return coefficients.limit(SHORT_COLUMN + 1).count() <= SHORT_COLUMN
-
-
-def _with_surface(
-    cube: DataFrame, surface_pressure: DataFrame, column: Sequence[str], lev: str, short: bool
-) -> DataFrame:
-    """Join each cell with its column's ``ps``; a long column is divided among tasks by level."""
-    surface = surface_pressure.select(*column, "ps")
-    if short:
-        return cube.join(surface, list(column))
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(LEVEL_SALTS - 1).cast("bigint"))
-    salt = F.pmod(F.xxhash64(lev), F.lit(LEVEL_SALTS))
-    salted = surface.withColumn("_salt", F.explode(salts))
-    return cube.withColumn("_salt", salt).join(salted, [*column, "_salt"]).drop("_salt")
-
 
 def pressure_from_hybrid(
     cube: DataFrame,
@@ -50,13 +28,13 @@ def pressure_from_hybrid(
 ) -> DataFrame:
     """Add ``pressure`` (Pa) to each cell from its level's coefficients and its column's ``ps``.
 
-    The coefficient table has a row per level; pass it settled, since it is counted before it
-    is broadcast. Surface pressure is as large as a horizontal field and joins on the column's
-    coordinates. A merged cube has one row per column and level.
+    The coefficient table has a row per level. Surface pressure is as large as a horizontal
+    field and joins on the column's coordinates; adaptive execution splits a column that many
+    cells share.
     """
     levels = broadcast_if_small(coefficients.select(lev, "hyam", "hybm"))
-    short = _is_short(coefficients)
-    placed = _with_surface(cube.join(levels, lev), surface_pressure, column, lev, short)
+    surface = surface_pressure.select(*column, "ps")
+    placed = cube.join(levels, lev).join(surface, list(column))
     pressure = hybrid_pressure(F.col("hyam"), F.col("hybm"), F.col("ps"), p0)
     return placed.select(*cube.columns, pressure.alias("pressure"))
 
@@ -68,47 +46,19 @@ def _interpolated(target: Column) -> Column:
     return F.when(target == p, value).when(target > p, between)
 
 
-def _bracket_ends(
-    nodes: DataFrame, keys: Sequence[str], levels_hpa: Sequence[float]
-) -> DataFrame:
-    """The lowest and highest node of each stretch between two neighbouring target levels.
-
-    No other node can be next to a target level, so the interpolated values stay the same,
-    while a column shrinks to at most two nodes per stretch before it is gathered, however
-    many nodes or copies it has.
-    """
-    bounds = sorted(100.0 * level for level in levels_hpa)
-    passed = [F.when(F.col("p0") >= b, F.lit(1)).otherwise(F.lit(0)) for b in bounds]
-    reached = [F.when(F.col("p0") > b, F.lit(1)).otherwise(F.lit(0)) for b in bounds]
-    stretch = reduce(lambda a, b: a + b, passed + reached)
-    low = F.min(F.struct(F.col("p0").alias("p"), F.col("v0").alias("v")))
-    high = F.max(F.struct(F.col("p0").alias("p"), (-F.col("v0")).alias("v")))
-    ends = nodes.groupBy(*keys, stretch.alias("_stretch")).agg(low.alias("l"), high.alias("h"))
-    both = F.array(
-        F.struct(F.col("l.p").alias("p0"), F.col("l.v").alias("v0")),
-        F.struct(F.col("h.p").alias("p0"), (-F.col("h.v")).alias("v0")),
-    )
-    return ends.select(*keys, F.inline(both))
-
-
 def interp_to_pressure(
     nodes: DataFrame,
     column: Sequence[str],
     value: str,
     pressure: str = "pressure",
     levels_hpa: Sequence[float] = STANDARD_LEVELS_HPA,
-    bounded: bool = False,
 ) -> DataFrame:
     """Interpolate a field linearly in pressure: one row per column and target level.
 
     A level outside the column's range is NULL. Nodes with a missing value are ignored; of
-    several nodes at one pressure the smallest value counts. Each column is sorted once, and
-    every target level is emitted by the segment that holds it, so there is no join with the
-    levels.
-
-    A column is sorted within one task. Unless the caller knows that its length is ``bounded``,
-    it is first reduced to the nodes that can matter, by an aggregation that starts before the
-    shuffle.
+    several nodes at one pressure the smallest value counts. Columns are shuffled and sorted
+    once, and every target level is emitted by the segment that holds it, so there is no join
+    with the levels. A column, as long as the model has levels, is sorted within one task.
     """
     keys = list(column)
     valid = null_if_nan(F.col(value)).isNotNull() & F.col(pressure).isNotNull()
@@ -117,8 +67,6 @@ def interp_to_pressure(
         F.when(valid, F.col(pressure)).alias("p0"),
         F.when(valid, F.col(value)).alias("v0"),
     )
-    if not bounded:
-        found = _bracket_ends(found, keys, levels_hpa)
 
     upward = Window.partitionBy(*keys).orderBy(F.col("p0").asc_nulls_last(), "v0")
     segments = (
@@ -154,12 +102,6 @@ def remap_hybrid_to_pressure(
     p0: float = REFERENCE_PRESSURE_PA,
     levels_hpa: Sequence[float] = STANDARD_LEVELS_HPA,
 ) -> DataFrame:
-    """Remap a merged field from hybrid levels to pressure levels; ``lev`` becomes ``plev``.
-
-    A merged cube has one row per column and level, so a column has at most as many nodes as
-    there are coefficients. These are counted: few mean that columns are short.
-    """
+    """Remap a merged field from hybrid levels to pressure levels; ``lev`` becomes ``plev``."""
     placed = pressure_from_hybrid(cube, coefficients, surface_pressure, column, lev, p0)
-    return interp_to_pressure(
-        placed, column, value, levels_hpa=levels_hpa, bounded=_is_short(coefficients)
-    )
+    return interp_to_pressure(placed, column, value, levels_hpa=levels_hpa)

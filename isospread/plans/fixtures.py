@@ -2,7 +2,7 @@
 
 Each is one SQL text for both engines; only the names of the zone-less timestamp type and of
 the function that makes rows of an array differ.
-All are deterministic, and all grow with the table they are made from.
+All are deterministic and read their whole table; catalogues grow up to the number of distinct names.
 """
 
 from __future__ import annotations

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from isospread.plans.fixtures import fixture_sql
-from isospread.registry import ENSEMBLES
 
 LE_NAMES = """
   SELECT DISTINCT split_part(split_part(fname, 'b.e11.', 2), '.cam.', 1) AS c
@@ -49,7 +48,13 @@ _FIRST_PER_VARIABLE = ", ".join(
     f"max(CASE WHEN var = '{v}' AND path = 'piece_a' THEN value END) AS {v}"
     for v in ("FLNT", "PS", "T")
 )
-_REGISTRY = ", ".join(f"('{e.name}', '{e.base_path}')" for e in ENSEMBLES)
+# Fixed values, written out here so that a wrong path in the registry shows.
+_REGISTRY = """
+    ('CESM2-LE', '/glade/campaign/cgd/cesm/CESM2-LE/timeseries/atm/proc/tseries/'),
+    ('CESM2-SF', '/glade/campaign/cesm/collections/CESM2-SF/timeseries/atm/proc/tseries/'),
+    ('CESM1-LE', '/glade/campaign/cesm/collections/cesmLE/CESM-CAM5-BGC-LE/atm/proc/tseries/'),
+    ('CESM1-SF', '/glade/campaign/cesm/collections/cesmLE/CESM-CAM5-BGC-LE/atm/proc/tseries/')
+"""
 
 _LEVELS = ", ".join(f"({p}.0)" for p in (1000, 925, 850, 700, 500, 400, 300, 250, 200, 150, 100))
 _INTERPOLATED = f"""
@@ -220,7 +225,12 @@ ORACLES = {
         """SELECT ensemble_member, time, floor(lat / 4) * 4 AS lat, floor(lon / 2) * 2 AS lon,
              round(avg(FLNT), 6) AS FLNT FROM fx_cube GROUP BY 1, 2, 3, 4""",
     ),
-    "skip_preprocess_identity": _one("fx_cube", "SELECT * FROM fx_cube"),
+    "skip_preprocess_identity": _one(
+        "fx_cells",
+        f""", {CELL_FILES}, {_le_cases('files')}, {_assigned('files')}
+            SELECT casename AS ensemble_member, time, lat, lon, value AS FLNT
+            FROM fx_cells JOIN case_files ON fx_cells.path = case_files.path WHERE var = 'FLNT'""",
+    ),
     "parse_kwargs": _one(
         "fx_kwargs",
         """SELECT event_id, 'DATALEV' AS key, CASE WHEN event_id % 5 = 0 THEN '250'
@@ -268,6 +278,24 @@ ORACLES = {
               round(pow(value / 5.67e-8, 0.25), 6) AS TBRT
             FROM fx_cells JOIN case_files ON fx_cells.path = case_files.path WHERE var = 'FLNT'""",
     ),
+    "run_ensemble_combined": _one(
+        "fx_cells",
+        f""", {CELL_FILES}, {_le_cases('files')}, {_assigned('files')}
+            SELECT casename AS ensemble_member, time, lat, lon, value AS FLNT,
+              round(pow(value / 5.67e-8, 0.25), 6) AS TBRT
+            FROM fx_cells JOIN case_files ON fx_cells.path = case_files.path WHERE var = 'FLNT'""",
+    ),
+    "apply_groups_below_maximum": _one(
+        "fx_cube",
+        """SELECT ensemble_member, time, lat, lon,
+             FLNT - max(FLNT) OVER (PARTITION BY ensemble_member, lat, lon) AS FLNT FROM fx_cube""",
+    ),
+    "merge_conflict_check_numbered": _one(
+        "fx_cube_long",
+        f"""SELECT a.ensemble_member, a.var, a.time, a.lat, a.lon,
+              a.value AS min_value, a.value + 1 AS max_value
+            FROM fx_cube_long a WHERE path = 'piece_a' AND lat = 6 AND value IS NOT NULL""",
+    ),
     "ensemble_brightness_test": _one(
         "fx_cells",
         f""", {CELL_FILES}, {_le_cases('files')}, {_assigned('files')},

@@ -196,6 +196,16 @@ def merge_conflict_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.find_conflicts(cells)
 
 
+@query
+def merge_conflict_check_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on cells that carry their file's number in place of its path."""
+    shifted = (F.col("path") == "piece_b") & (F.col("lat") == 6)
+    value = F.when(shifted, F.col("value") + 1).otherwise(F.col("value"))
+    order = F.when(F.col("path") == "piece_a", 0).otherwise(1).cast("long")
+    cells = fixture(spark, sf_dir, "fx_cube_long").withColumn("value", value)
+    return merge.find_conflicts(cells.withColumn(merge.FILE_ORDER, order).drop("path"))
+
+
 @query
 def merge_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_override(fixture(spark, sf_dir, "fx_cube_long"), VARIABLES)
@@ -235,7 +245,15 @@ def resample_space(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def skip_preprocess_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return members.apply_native(fixture(spark, sf_dir, "fx_cube"), members.identity)
+    """A whole analysis whose preprocessing, which would empty the cube, is skipped."""
+    options = RunOptions(LE, "month_1", ("FLNT",), skip_preprocess=True)
+
+    def nothing(cube: DataFrame, kwargs: dict) -> DataFrame:
+        return cube.limit(0)
+
+    cells = fixture(spark, sf_dir, "fx_cells")
+    case_files = _case_files(spark, sf_dir)
+    return run.analyse_members(cells, case_files, options, nothing, None)
 
 
 @query
@@ -275,6 +293,17 @@ def apply_per_member_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(members.apply_blocks(cube, _block_brightness, schema), "TBRT")
 
 
+def _below_maximum(series: pd.DataFrame) -> pd.DataFrame:
+    return series.assign(FLNT=series["FLNT"] - series["FLNT"].max())
+
+
+@query
+def apply_groups_below_maximum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell's time series of every member, as a pandas function sees it."""
+    cube = fixture(spark, sf_dir, "fx_cube")
+    return members.apply_groups(cube, _below_maximum, cube.schema, ["lat", "lon"])
+
+
 @query
 def pressure_from_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = fixture(spark, sf_dir, "fx_hybrid")
@@ -362,6 +391,16 @@ def ensemble_brightness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(analysed, "TBRT")
 
 
+@query
+def run_ensemble_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run: find members, analyse, save each, read them again and combine."""
+    cells = fixture(spark, sf_dir, "fx_cells")
+    options = RunOptions(LE, "month_1", ("FLNT",), save_path=scratch_path(spark, "run"))
+    catalog = settle(catalogs.catalog_of_cells(cells))
+    done = run.run_ensemble(spark, catalog, cells, options)
+    return _rounded(spark.read.schema(done.members.schema).parquet(done.combined_path), "TBRT")
+
+
 @query
 def ensemble_brightness_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for the first two members and ten time steps, by the override rule."""

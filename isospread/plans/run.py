@@ -106,18 +106,22 @@ def run_ensemble(
         cases = settle(axis.first_n_members(cases, TEST_MEMBERS, "casename"))
 
     case_files = settle(case_files_of(catalog, cases, options))
-    missing = assign.members_without_files(cases, case_files)
-    for row in missing.limit(20).collect():
-        log.warning("no files for member %s", row.casename)
+    missing = settle(assign.members_without_files(cases, case_files))
+    lacking = missing.count()
+    if lacking:
+        log.warning("%d members have no files; see RunResult.without_files", lacking)
         if options.strict:
-            raise ValueError(f"no files for member {row.casename}")
+            first = missing.agg(F.min("casename")).head()[0]
+            raise ValueError(f"no files for member {first} ({lacking} such members)")
 
     analysed = analyse_members(cells, case_files, options, preprocess, analyse)
+    processed = settle(case_files.select(F.col("casename").alias(results.MEMBER)).distinct())
+    results.clear_members(processed, options.members_path)
     results.write_members(analysed, options.members_path)
-    written = settle(case_files.select(F.col("casename").alias(results.MEMBER)).distinct())
     saved = results.read_members(spark, options.members_path, analysed.schema).join(
-        broadcast_if_small(written), results.MEMBER, "left_semi"
+        broadcast_if_small(processed), results.MEMBER, "left_semi"
     )
+    written = saved.select(results.MEMBER).distinct()
 
     combined_path = None
     if options.concat_results:

@@ -2,28 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 MEMBER = "ensemble_member"
-OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
-MEMBERS_PER_TASK = 64
 
 
-@contextmanager
-def _open_files(spark: SparkSession) -> Iterator[None]:
-    """Let a task write several members' files side by side, unless the session already does."""
-    before = spark.conf.get(OPEN_FILES)
-    if before == "0":
-        spark.conf.set(OPEN_FILES, str(MEMBERS_PER_TASK))
-    try:
-        yield
-    finally:
-        spark.conf.set(OPEN_FILES, before)
+def clear_members(members: DataFrame, path: str) -> None:
+    """Remove the folders of the named members, so that one that yields no rows this time keeps
+    none of an earlier run. Names reach the driver a partition at a time."""
+    spark = members.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in members.select(MEMBER).distinct().toLocalIterator():
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{MEMBER}={escape(row[0])}")
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def write_members(df: DataFrame, path: str, order: Sequence[str] = ("time",)) -> None:
@@ -31,21 +27,17 @@ def write_members(df: DataFrame, path: str, order: Sequence[str] = ("time",)) ->
 
     Rows are rebalanced by member: adaptive execution gives a large member several files of
     about the advisory size and lets small members share a task. Within a task rows are sorted
-    by ``order`` only. With files open side by side there is no need to sort by member name
-    first, which costs far more than a sort by time. A task with more members than it may hold
-    open sorts the rest by member.
+    by member and ``order``, so a task has one file open at a time.
     """
-    keys = [c for c in order if c in df.columns]
-    rebalanced = df.hint("rebalance", F.col(MEMBER))
-    if keys:
-        rebalanced = rebalanced.sortWithinPartitions(*keys)
-    with _open_files(df.sparkSession):
-        (
-            rebalanced.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MEMBER)
-            .parquet(path)
-        )
+    keys = [MEMBER, *(c for c in order if c in df.columns)]
+    (
+        df.hint("rebalance", F.col(MEMBER))
+        .sortWithinPartitions(*keys)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(MEMBER)
+        .parquet(path)
+    )
 
 
 def read_members(

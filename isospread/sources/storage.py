@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+#: Stored size up to which a table is broadcast; in memory it may be several times as large.
+BROADCAST_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,9 +25,23 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="isospread-")
         context.setCheckpointDir(folder)
+    if not context.master.startswith("local") and _is_local(spark, folder):
+        raise RuntimeError(
+            f"spark.checkpoint.dir {folder!r} is a local path on a cluster; name a shared file "
+            "system, or write file: in front of a folder that is mounted on every machine"
+        )
     return folder.rstrip("/")
 
 
+def _is_local(spark: SparkSession, folder: str) -> bool:
+    """Whether a path without a scheme falls to a default file system that is local."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    if path.toUri().getScheme() is not None:
+        return False
+    return path.getFileSystem(conf).getUri().getScheme() == "file"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -44,11 +59,12 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it is counted to hold at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if the optimizer knows it to have at most ``max_bytes``.
 
-    Beyond that the frame is returned without a hint and the join shuffles both sides, with
-    skewed partitions left to adaptive execution. Counting runs a job, so pass a settled frame.
+    Of a settled frame it knows the stored size, so no job is run. Beyond the bound the frame is
+    returned without a hint; Spark then decides, and a shuffled join leaves skewed partitions to
+    adaptive execution. The result is the same.
     """
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= max_bytes else df

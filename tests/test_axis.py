@@ -101,13 +101,24 @@ def test_separate_members_stack_and_fill(spark, cube):
     assert whole.filter("ensemble_member = 'y' AND FLNT IS NULL AND TBRT = 1").count() == 24
 
 
-@pytest.mark.parametrize("gather", [1000, 1])
-def test_dense_cube_has_every_member_at_every_coordinate(spark, cube, gather):
+def test_dense_cube_has_every_member_at_every_coordinate(spark, cube):
     extra = spark.createDataFrame([("c", day(0), 1.0, None, 5.0)], SCHEMA)
-    dense = members.concat_members_dense(cube.unionByName(extra), ["FLNT"], gather)
+    dense = members.concat_members_dense(cube.unionByName(extra), ["FLNT"])
     assert dense.count() == 3 * (24 * 2 + 1)
     given = dense.filter("FLNT IS NOT NULL")
     assert given.exceptAll(cube.unionByName(extra).select(*dense.columns)).count() == 0
     assert given.count() == cube.count() + 1
     plan = dense._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_cell_given_twice_stays_twice_in_the_dense_cube(spark, cube):
+    dense = members.concat_members_dense(cube.union(cube.limit(1)), ["FLNT"])
+    assert dense.count() == members.concat_members_dense(cube, ["FLNT"]).count() + 1
+
+
+def test_a_missing_time_is_no_step(spark):
+    rows = [("a", day(d), 0.0, 0.0, 1.0) for d in range(12)] + [("a", None, 0.0, 0.0, 2.0), ("b", None, 0.0, 0.0, 3.0)]
+    found = axis.first_n_timesteps(spark.createDataFrame(rows, SCHEMA), 10)
+    assert found.filter("time IS NOT NULL").count() == 10
+    assert found.filter("time IS NULL").count() == 2

@@ -133,13 +133,13 @@ def test_unknown_mode(spark):
 
 
 def test_broadcast_only_below_the_limit(spark):
-    small, large = spark.range(10), spark.range(11)
+    small, large = settle(spark.range(10)), settle(spark.range(200_000))
 
     def hinted(df):
         return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
 
-    assert hinted(broadcast_if_small(small, 10))
-    assert not hinted(broadcast_if_small(large, 10))
+    assert hinted(broadcast_if_small(small, 10_000))
+    assert not hinted(broadcast_if_small(large, 10_000))
 
 
 def test_label_beyond_the_broadcast_limit(spark, monkeypatch):
@@ -173,3 +173,20 @@ def test_numbered_members_merge_like_named_ones(spark):
     assert sorted((r.ensemble_member, r["A"]) for r in rows) == [("x", 1.0), ("y", 2.0)]
     with pytest.raises(Exception, match="conflicting values of A: ensemble_member=y"):
         merge.merge(numbered, ["A"], "no_conflicts", names).collect()
+
+
+def test_a_conflict_raises_whatever_is_selected(spark):
+    table = cells(
+        spark, ("A", "/a.nc", 1.0, 1.0), ("A", "/b.nc", 1.0, 2.0), ("B", "/a.nc", 1.0, 5.0)
+    )
+    merged = merge.merge_no_conflicts(table, ["A", "B"])
+    for use in (lambda: merged.select("B").collect(), merged.count):
+        with pytest.raises(Exception, match="conflicting values of A"):
+            use()
+
+
+def test_conflicts_of_numbered_cells(spark):
+    table = cells(spark, ("A", "/a.nc", 1.0, 1.0), ("A", "/b.nc", 1.0, 2.0))
+    order = F.when(F.col("path") == "/a.nc", 0).otherwise(1).cast("long")
+    numbered = table.withColumn(merge.FILE_ORDER, order).drop("path")
+    assert merge.find_conflicts(numbered).count() == merge.find_conflicts(table).count() == 1

@@ -8,33 +8,31 @@ from isospread.operators import vertical
 SCHEMA = "col LONG, pressure DOUBLE, x DOUBLE"
 
 
-def interpolated(spark, nodes, levels, bounded=False):
+def interpolated(spark, nodes, levels):
     df = spark.createDataFrame(nodes, SCHEMA)
-    found = vertical.interp_to_pressure(df, ["col"], "x", levels_hpa=levels, bounded=bounded)
+    found = vertical.interp_to_pressure(df, ["col"], "x", levels_hpa=levels)
     rows = found.collect()
     assert len(rows) == len({(r.col, r.plev) for r in rows})
     return {(r.col, r.plev): r.x for r in rows}
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_edges_of_the_column(spark, bounded):
+def test_edges_of_the_column(spark):
     nodes = [(1, 10000.0, 1.0), (1, 20000.0, 3.0), (1, 50000.0, 9.0)]
-    found = interpolated(spark, nodes, [50, 100, 150, 200, 500, 600], bounded)
+    found = interpolated(spark, nodes, [50, 100, 150, 200, 500, 600])
     assert found == {
         (1, 50.0): None, (1, 100.0): 1.0, (1, 150.0): 2.0,
         (1, 200.0): 3.0, (1, 500.0): 9.0, (1, 600.0): None,
     }
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_odd_columns(spark, bounded):
+def test_odd_columns(spark):
     nodes = [
         (1, 30000.0, 4.0),
         (2, 10000.0, None), (2, 20000.0, float("nan")), (2, None, 1.0),
         (3, 10000.0, 0.0), (3, 20000.0, None), (3, 30000.0, 2.0),
         (4, 10000.0, 8.0), (4, 10000.0, 2.0), (4, 30000.0, 4.0), (4, 30000.0, 7.0),
     ]
-    found = interpolated(spark, nodes, [100, 200, 300], bounded)
+    found = interpolated(spark, nodes, [100, 200, 300])
     assert found == {
         (1, 100.0): None, (1, 200.0): None, (1, 300.0): 4.0,
         (2, 100.0): None, (2, 200.0): None, (2, 300.0): None,
@@ -43,8 +41,7 @@ def test_odd_columns(spark, bounded):
     }
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_equals_numpy_on_random_columns(spark, bounded):
+def test_equals_numpy_on_random_columns(spark):
     rng = np.random.default_rng(5)
     nodes, expected = [], {}
     for col in range(60):
@@ -58,13 +55,13 @@ def test_equals_numpy_on_random_columns(spark, bounded):
             expected[col, float(level)] = None if outside else np.interp(level * 100.0, p, x)
     rng.shuffle(nodes)
     nodes = [(int(c), float(p), float(x)) for c, p, x in nodes]
-    found = interpolated(spark, nodes, STANDARD_LEVELS_HPA, bounded)
+    found = interpolated(spark, nodes, STANDARD_LEVELS_HPA)
     assert found.keys() == expected.keys()
     for key, want in expected.items():
         assert found[key] == (None if want is None else pytest.approx(want, abs=1e-12))
 
 
-def test_one_column_with_most_rows_is_reduced_before_it_is_sorted(spark):
+def test_one_long_column(spark):
     nodes = spark.range(50_000).select(
         F.lit(1).cast("long").alias("col"),
         (F.col("id") * 2.5).alias("pressure"), (F.col("id") * 5.0).alias("x"),
@@ -73,16 +70,11 @@ def test_one_column_with_most_rows_is_reduced_before_it_is_sorted(spark):
     assert {(r.plev, r.x) for r in found.collect()} == {
         (float(p), p * 200.0) for p in STANDARD_LEVELS_HPA
     }
-    ends = vertical._bracket_ends(
-        nodes.select("col", F.col("pressure").alias("p0"), F.col("x").alias("v0")),
-        ["col"], STANDARD_LEVELS_HPA,
-    )
-    assert ends.count() <= 2 * (2 * len(STANDARD_LEVELS_HPA) + 1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
 
 
-@pytest.mark.parametrize("short", [1_000, 2])
-def test_pressure_and_remap(spark, monkeypatch, short):
-    monkeypatch.setattr(vertical, "SHORT_COLUMN", short)
+def test_pressure_and_remap(spark):
     coefficients = spark.createDataFrame(
         [(1.0, 0.1, 0.0), (2.0, 0.1, 0.4), (3.0, 0.0, 1.0)], "lev DOUBLE, hyam DOUBLE, hybm DOUBLE"
     )
