@@ -479,13 +479,15 @@ def train(pages: DataFrame, html: str = "html", sample: int = SAMPLE) -> Boosted
     A sampled page without an ``article`` or ``main`` element lends its longest element's texts
     to variants only. Without any pages the trees rest on built-in words.
     """
-    drawn = (
-        pages.where(F.length(html).between(1, TRAINING_CHARS))
-        .select(F.col(html).alias("_html"))
-        .orderBy(F.xxhash64("_html"), "_html")
-        .limit(sample)
-        .collect()
+    hashed = pages.where(F.length(html).between(1, TRAINING_CHARS)).select(
+        F.xxhash64(html).alias("_hash"), F.col(html).alias("_html")
     )
+    # hashes first, so that only the sampled pages themselves reach the driver
+    least = hashed.select("_hash").distinct().orderBy("_hash").limit(sample)
+    last = least.agg(F.max("_hash")).head()[0]
+    chosen = hashed.where(F.col("_hash") <= F.lit(last)) if last is not None else hashed.limit(0)
+    found = chosen.groupBy("_hash").agg(F.min("_html").alias("_html")).collect()
+    drawn = [(r[1],) for r in sorted(found)]
     draw = random.Random(11)
     known, sources, plain = Nodes(), [], 0
     for (page,) in drawn:

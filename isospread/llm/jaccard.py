@@ -35,7 +35,7 @@ from isospread.llm.words import (
     run_heads,
     window_starts,
 )
-from isospread.sources.storage import settle
+from isospread.sources.storage import broadcast_if_small, settle
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -364,7 +364,14 @@ def similar(
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents without near copies: of each class the one with the least id stays."""
     found = similar(docs, text, doc_id, **options).where("stays")
-    kept = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    kept = settle(
+        found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
+            F.count("*").alias("_n")
+        )
+    )
     keyed = docs.withColumn("_key", F.xxhash64(text))
     same = F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates([doc_id, "_key"]).drop("_key")
+    # texts move only where the list of kept ids is long, or for rows that are repeated
+    once = keyed.join(broadcast_if_small(kept.where("_n = 1")), same, "left_semi")
+    repeated = keyed.join(broadcast_if_small(kept.where("_n > 1")), same, "left_semi")
+    return once.unionByName(repeated.dropDuplicates([doc_id, "_key"])).drop("_key")
