@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from isospread.llm.memory import give_back
-from isospread.llm.words import ALNUM, Words, distinct_places, mix, pieces, run_hashes, window_starts
+from isospread.llm.words import ALNUM, Words, distinct_places, mix, pieces
 from isospread.sources.storage import settle
 
 #: Labelled rows the classifier is fitted on, and terms it keeps: its only bounds.
@@ -67,17 +67,6 @@ def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Words]:
     return np.concatenate(hashes), np.concatenate(owners), words
 
 
-def _minima(words: Words, n: int = 3, size: int = 5) -> np.ndarray:
-    """Some least hashes of each text's shingles; near copies share one almost surely."""
-    starts = window_starts(words.first, size)
-    shingles = run_hashes(words.hashes(), starts, starts + size)
-    of = np.searchsorted(words.first, starts, side="right") - 1
-    out = np.full((len(words.counts), n), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(n):
-        np.minimum.at(out[:, i], of, mix(shingles + np.uint64(i)))
-    return out
-
-
 def _per_text(texts: pa.Array, known: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Which of the known terms (sorted) each text has, and how often."""
     hashes, of, words = _terms(texts)
@@ -232,7 +221,7 @@ def fit(
     """The index of labelled examples.
 
     ``training`` picks rows of ``labels``; of these at most ``sample`` with a label of 0 or 1
-    are drawn by a hash of their id. Near copies of an example drawn before are left out.
+    are drawn by a hash of their id. Every one of them votes, near copies too.
     """
     spark = docs.sparkSession
     drawn = (
@@ -248,34 +237,14 @@ def fit(
         )
     )
 
-    def sketch(batches):
-        for batch in batches:
-            for piece in pieces(batch, "_text"):
-                least = _minima(Words(piece.column("_text"), ALNUM, fold=True)).view(np.int64)
-                columns = [piece.column("_id"), piece.column("_label")]
-                columns += [pa.array(least[:, i]) for i in range(least.shape[1])]
-                yield pa.RecordBatch.from_arrays(columns, ["_id", "_label", "a", "b", "c"])
-
-    rows = texts.mapInArrow(give_back(sketch), "_id long, _label int, a long, b long, c long").collect()
-    none = np.array([np.iinfo(np.uint64).max]).view(np.int64)[0]
-    seen, kept = [set(), set(), set()], set()
-    for r in sorted(rows, key=lambda r: (r[0], r[1])):
-        mine = r[2:]
-        if any(m != none and m in s for m, s in zip(mine, seen)):
-            continue
-        for m, s in zip(mine, seen):
-            s.add(m)
-        kept.add(r[0])
-
-    ids = np.array(sorted(kept), dtype=np.int64)
+    marks = [r[0] for r in texts.select("_label").collect()]
 
     def spread(batches):
         for batch in batches:
             for piece in pieces(batch, "_text"):
-                mine = np.isin(piece.column("_id").to_numpy(), ids)
                 toxic = piece.column("_label").to_numpy() == 1
                 hashes, of, _ = _terms(piece.column("_text"))
-                pair = np.unique(np.stack([hashes[mine[of]], of[mine[of]].astype(np.uint64)]), axis=1)
+                pair = np.unique(np.stack([hashes, of.astype(np.uint64)]), axis=1)
                 distinct, place = distinct_places(pair[0])
                 bad = toxic[pair[1].astype(np.int64)]
                 n = np.bincount(place, minlength=len(distinct))
@@ -285,7 +254,7 @@ def fit(
                     ["term", "n", "n_toxic"],
                 )
 
-    n, n_toxic = len(kept), sum(r[1] for r in rows if r[0] in kept)
+    n, n_toxic = len(marks), sum(marks)
     have, bad = F.col("n"), F.col("n_toxic")
     clean = F.lit(n - n_toxic)
     cross = bad * (clean - (have - bad)) - (have - bad) * (F.lit(n_toxic) - bad)
@@ -320,7 +289,7 @@ def fit(
 
     kinds = "_id long, _label int, terms array<long>, times array<long>"
     examples = sorted(
-        (r for r in texts.mapInArrow(give_back(vectors), kinds).collect() if r[0] in kept),
+        texts.mapInArrow(give_back(vectors), kinds).collect(),
         key=lambda r: (r[0], r[1], r[2], r[3]),
     )
 

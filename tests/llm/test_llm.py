@@ -219,6 +219,18 @@ def test_toxicity(spark, empty):
     assert toxicity.score(more, none, ["doc_id"]).toPandas().score.tolist() == [0, 0, 0]
 
 
+def test_toxicity_keeps_every_example(spark):
+    draw = random.Random(4)
+    shared = [f"p{i}" for i in range(30)]
+    made = []
+    for i in range(120):
+        own = [f"w{draw.randrange(400)}" for _ in range(40)]
+        made.append((i, " ".join(shared + own), int(i % 3 == 0)))
+    table = spark.createDataFrame(made, "doc_id long, text string, toxic int")
+    index = toxicity.fit(table, table.select("doc_id", "toxic"), F.lit(True))
+    assert index.members.sum() == 120 and index.toxic.sum() == 40
+
+
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(maxscore, "SHARD", 70)
     monkeypatch.setattr(maxscore, "BLOCK", 7)
