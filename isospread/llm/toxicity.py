@@ -1,18 +1,21 @@
 """Toxicity by the nearest labelled examples, under exact TF-IDF cosine.
 
-Terms are words and word beginnings that labelled examples show to mark toxic texts. Examples are
-a bounded sample of the labelled rows; examples with equal vectors are one entry of the index.
-Entries are sorted into blocks, and for each term the index holds the largest weight in each
-block. A query's bound of a block is the sum of these times its own weights; blocks are scored in
-the order of their bounds until none can hold a nearer example (block-max), so the result is the
-same as that of scoring all. Votes are weighted by distance and calibrated on the examples
-themselves, each scored without its own vote. The document frequencies count all documents.
-
-The index is bounded by the sample (see ``SAMPLE`` and ``TERMS``) and broadcast.
+Terms are all words and word beginnings of the labelled examples, a bounded sample of the labelled
+rows; examples with equal vectors are one entry of the index. A term's weight is its TF-IDF, with
+document frequencies over all documents, times a factor of 1 or more that grows with its chi-square
+where it leans toxic; no term is left out. Postings of rare terms are traversed for all entries.
+Entries are sorted into blocks, and for each frequent term the index holds the largest weight in
+each block: what the rare terms gave, and the most that the frequent ones can add, bound a block,
+and only blocks that can hold a nearer example are scored in full (block-max), so the result is
+the same as that of scoring all. Votes are weighted by distance and calibrated on the examples
+themselves, each scored without its own vote.
+
+The index is bounded by the sample (see ``SAMPLE``) and broadcast.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,21 +26,25 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from isospread.llm.memory import give_back
-from isospread.llm.words import ALNUM, Words, distinct_places, mix, pieces
+from isospread.llm.words import ALNUM, Words, distinct_places, mix, pieces, run_heads
 from isospread.sources.storage import settle
 
-#: Labelled rows the classifier is fitted on, and terms it keeps: its only bounds.
+#: Labelled rows the classifier is fitted on: its only bound.
 SAMPLE = 12_000
-TERMS = 1024
 NEIGHBOURS = 15
 #: Entries of the index that are named as evidence.
-EVIDENCE = 5
+EVIDENCE = 15
 BLOCK = 64
+#: Texts that are scored together.
+GROUP = 32
+#: Blocks that give the first threshold.
+FIRST = 2
+#: Terms in at least one of so many entries are frequent.
+FREQUENT = 16
 #: Lengths of word beginnings, in bytes.
 BEGINNINGS = (4, 5)
-#: Least chi-square of a term and least toxic examples with it. With one degree of freedom 28 is
-#: p = 1e-7, so that of some 100,000 terms tried hardly one passes by chance.
-LEAST_CHI2, LEAST_TOXIC = 28.0, 4
+#: Chi-square at which a term that leans toxic counts twice (p = 5 % with one degree of freedom).
+DOUBLE = 3.84
 #: Weight of a term that every text has, by which texts without other terms are alike.
 COMMON = 1.0
 
@@ -67,110 +74,214 @@ def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Words]:
     return np.concatenate(hashes), np.concatenate(owners), words
 
 
-def _per_text(texts: pa.Array, known: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Which of the known terms (sorted) each text has, and how often."""
-    hashes, of, words = _terms(texts)
+def _counted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of each text, in order of the texts: text, term's hash, times."""
+    hashes, of, _ = _terms(texts)
+    order = np.lexsort((hashes, of))
+    of, hashes = of[order], hashes[order]
+    heads = np.flatnonzero(run_heads(of) | run_heads(hashes))
+    return of[heads], hashes[heads], np.diff(np.append(heads, len(of)))
+
+
+def _known(texts: pa.Array, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``_counted``, of the known terms (sorted) only, by their places."""
+    hashes, of, _ = _terms(texts)
     at = np.searchsorted(known, hashes)
     at[at == len(known)] = 0
     hit = known[at] == hashes if len(known) else np.zeros(len(hashes), dtype=bool)
-    pair = of[hit] * (len(known) + 1) + at[hit]
-    pair, times = np.unique(pair, return_counts=True)
+    pair, times = np.unique(of[hit] * (len(known) + 1) + at[hit], return_counts=True)
     text, term = np.divmod(pair, len(known) + 1)
-    cuts = np.searchsorted(text, np.arange(len(words.counts) + 1))
+    return text, term, times
+
+
+def _stretches(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of all stretches, one after another."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
+def _print(term: np.ndarray, times: np.ndarray) -> int:
+    """A fingerprint of a vector."""
+    raw = np.concatenate([term, times]).astype(np.int64).tobytes()
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
+
+
+def _vectors(texts: pa.Array, known: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Which of the known terms each text has, and how often."""
+    text, term, times = _known(texts, known)
+    cuts = np.searchsorted(text, np.arange(len(texts) + 1))
     return [(term[a:b], times[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
+def _lift(n: np.ndarray, n_toxic: np.ndarray, of: int, of_toxic: int) -> np.ndarray:
+    """1 and more: what a term counts for beside its TF-IDF, by the examples with it."""
+    clean = of - of_toxic
+    cross = n_toxic * (clean - (n - n_toxic)) - (n - n_toxic) * (of_toxic - n_toxic)
+    spread = max(of_toxic, 1) * max(clean, 1) * n * np.maximum(of - n, 1.0)
+    return 1 + np.sqrt(of / DOUBLE / spread) * np.maximum(cross, 0)
+
+
+class Postings:
+    """Weights of the terms (rows, the common one last) in the entries, row by row."""
+
+    def __init__(self, rows: int, width: int, term, entry, weight):
+        """Of postings in order of the entries."""
+        order = np.argsort(term, kind="stable").astype(np.int32)
+        self.width = width
+        self.cuts = np.append(0, np.cumsum(np.bincount(term, minlength=rows)))
+        self.entry, self.weight = entry[order], weight[order]
+
+    def __getitem__(self, term: np.ndarray) -> np.ndarray:
+        """Some rows in full."""
+        lengths = self.cuts[term + 1] - self.cuts[term]
+        at = _stretches(self.cuts[term], lengths)
+        out = np.zeros((len(term), self.width))
+        out[np.repeat(np.arange(len(term)), lengths), self.entry[at]] = self.weight[at]
+        return out
+
+
 class Index:
-    """Entries of examples with equal vectors, in blocks with the largest weight of each term."""
+    """Entries of examples with equal vectors, the postings of their terms, and blocks of entries
+    with the largest weight of each frequent term. ``factor`` is what a term counts for once."""
 
-    def __init__(self, terms, idf, vectors, labels, ids):
-        self.terms, self.idf = terms, idf
-        entries: dict[bytes, list] = {}
+    def __init__(self, terms, factor, vectors, labels, ids):
+        self.terms, self.factor = terms, factor
+        entries: dict[int, list] = {}
         for (term, times), label, doc in zip(vectors, labels, ids):
-            key = term.astype(np.int32).tobytes() + b"|" + times.astype(np.int32).tobytes()
-            entry = entries.setdefault(key, [term, times, 0, 0, doc])
+            entry = entries.setdefault(_print(term, times), [term, times, 0, 0, doc])
             entry[2] += 1
             entry[3] += int(label)
-        # like entries stand together, so that a block's largest weights are close to its own
-        ordered = sorted(entries.values(), key=lambda e: (e[0].tolist(), e[1].tolist()))
-        self.members = np.array([e[2] for e in ordered], dtype=float)
-        self.toxic = np.array([e[3] for e in ordered], dtype=float)
-        self.example = np.array([-1 if e[4] is None else e[4] for e in ordered], dtype=np.int64)
-        self.weights = np.zeros((len(terms) + 1, len(ordered)))
-        for i, e in enumerate(ordered):
+        rows = len(terms) + 1
+        n = len(entries)
+        have = np.zeros(rows, dtype=np.int64)
+        for e in entries.values():
+            have[e[0]] += 1
+        have[-1] = n
+        self.often = np.flatnonzero(have * FREQUENT >= max(n, 1))
+        self.place = np.full(rows, -1, dtype=np.int32)
+        self.place[self.often] = np.arange(len(self.often))
+        dense = np.zeros((n, len(self.often)))
+        for i, e in enumerate(entries.values()):
             term, weight = self.vector(e[0], e[1])
-            self.weights[term, i] = weight
-        heads = np.arange(0, len(ordered), BLOCK)
-        self.heads = np.append(heads, len(ordered))
-        self.block_max = (
-            np.maximum.reduceat(self.weights, heads, axis=1)
-            if len(heads)
-            else np.zeros((len(terms) + 1, 0))
-        )
+            often = self.place[term] >= 0
+            dense[i, self.place[term[often]]] = weight[often]
+        # like entries stand together, so that a block's largest weights are close to its own
+        _, axes = np.linalg.eigh(dense.T @ dense)
+        on = dense @ axes[:, ::-1][:, :6]
+        sides = (on > np.median(on, axis=0)).T if n else on.T
+        order = np.lexsort((np.arange(n), *on.T[:1], *sides[::-1]))
+        heads = np.arange(0, n, BLOCK)
+        self.heads = np.append(heads, n)
+        self.block_max = np.zeros((len(self.often), len(heads)))
+        for i, head in enumerate(heads):
+            self.block_max[:, i] = dense[order[head : head + BLOCK]].max(axis=0)
+        del dense
+        prints, kept = list(entries), list(entries.values())
+        self.members = np.array([kept[i][2] for i in order], dtype=float)
+        self.toxic = np.array([kept[i][3] for i in order], dtype=float)
+        self.example = np.array([kept[i][4] for i in order], dtype=np.int64)
+        self.prints = {prints[i]: at for at, i in enumerate(order)}
+        sizes = np.array([len(kept[i][0]) + 1 for i in order], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        term = np.empty(int(sizes.sum()), dtype=np.int32)
+        weight = np.empty(len(term))
+        for i, end, size in zip(order, ends, sizes):
+            term[end - size : end], weight[end - size : end] = self.vector(kept[i][0], kept[i][1])
+        entry = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        self.weights = Postings(rows, n, term, entry, weight)
+        self._full = None
         self.slope, self.shift = 1.0, 0.0
-        self.remembered: dict[bytes, tuple] = {}
+
+    @property
+    def frequent(self) -> np.ndarray:
+        """The frequent terms' weights in full, made where they are needed."""
+        if self._full is None:
+            self._full = self.weights[self.often]
+        return self._full
 
     def vector(self, term: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of unit length, the common term last."""
-        weight = np.append((1 + np.log(times)) * self.idf[term], COMMON)
+        weight = np.append((1 + np.log(times)) * self.factor[term], COMMON)
         return np.append(term, len(self.terms)), weight / np.sqrt((weight**2).sum())
 
+    def group(self, vectors: list, but: list):
+        """What ``nearest`` gives, for some texts."""
+        size, n = len(vectors), len(self.members)
+        made = [self.vector(*v) for v in vectors]
+        text = np.repeat(np.arange(size), [len(t) for t, _ in made])
+        term, weight = (np.concatenate(x) for x in zip(*made))
+        place = self.place[term]
+        often = place >= 0
+        dense = np.zeros((size, len(self.often)))
+        dense[text[often], place[often]] = weight[often]
+        cuts, rare = self.weights.cuts, term[~often]
+        lengths = cuts[rare + 1] - cuts[rare]
+        at = _stretches(cuts[rare], lengths)
+        partial = np.bincount(
+            np.repeat(text[~often] * n, lengths) + self.weights.entry[at],
+            weights=np.repeat(weight[~often], lengths) * self.weights.weight[at],
+            minlength=size * n,
+        ).reshape(size, n)
+        bounds = np.maximum.reduceat(partial, self.heads[:-1], axis=1) + dense @ self.block_max
+        cosines = np.full((size, n), -1.0)
+        done = np.zeros(bounds.shape, dtype=bool)
+
+        def fill(chosen: np.ndarray) -> None:
+            for block in np.flatnonzero(chosen.any(axis=0)):
+                rows = np.flatnonzero(chosen[:, block])
+                here = slice(self.heads[block], self.heads[block + 1])
+                # rounded, so that equal texts have equal cosines in whatever group they stand
+                cosines[rows, here] = np.round(
+                    partial[rows, here] + dense[rows] @ self.frequent[:, here], 12
+                )
+            done[:] |= chosen
+
+        def least(i: int) -> float:
+            """The cosine of the last neighbour found so far, or -1 if there are too few."""
+            most = min(n, NEIGHBOURS + 1)
+            best = np.argpartition(-cosines[i], most - 1)[:most]
+            best = best[np.argsort(-cosines[i, best], kind="stable")]
+            members = self.members[best]
+            members = members - (best == but[i]) if but[i] is not None else members
+            enough = np.searchsorted(np.cumsum(members), NEIGHBOURS)
+            return cosines[i, best[enough]] if enough < most else -1.0
+
+        first = np.zeros(bounds.shape, dtype=bool)
+        np.put_along_axis(first, np.argsort(-bounds, axis=1)[:, :FIRST], True, axis=1)
+        fill(first)
+        lowest = np.array([least(i) for i in range(size)])
+        fill((bounds >= lowest[:, None] - 1e-11) & ~done)
+        out = []
+        for i in range(size):
+            found = np.flatnonzero((cosines[i] >= least(i)) & (cosines[i] >= 0))
+            found = found[np.lexsort((found, -cosines[i, found]))]
+            members = self.members[found]
+            if but[i] is not None:
+                members = members - (found == but[i])
+            out.append((found, cosines[i, found], members))
+        return out
+
     def nearest(self, term, times, but: int | None = None):
         """Entries with the nearest examples and their cosines; examples that tie with the last
         count too. ``but`` is an entry of which one example is left out."""
-        term, weight = self.vector(term, times)
-        bounds = weight @ self.block_max[term]
-        members = self.members
-        if but is not None:
-            members = members.copy()
-            members[but] -= 1
-        found, cosines = np.zeros(0, dtype=np.int64), np.zeros(0)
-        least, done, some = -1.0, 0, 2
-        ranked = np.argsort(-bounds, kind="stable")
-        while done < len(ranked) and bounds[ranked[done]] >= least - 1e-12:
-            blocks = ranked[done : done + some]
-            blocks = blocks[bounds[blocks] >= least - 1e-12]
-            done, some = done + some, 2 * some
-            rows = np.concatenate([np.arange(self.heads[b], self.heads[b + 1]) for b in blocks])
-            found = np.append(found, rows)
-            cosines = np.append(cosines, weight @ self.weights[np.ix_(term, rows)])
-            order = np.argsort(-cosines, kind="stable")
-            enough = np.searchsorted(np.cumsum(members[found[order]]), NEIGHBOURS)
-            if enough < len(order):
-                least = cosines[order[enough]]
-                keep = cosines >= least - 1e-12
-                found, cosines = found[keep], cosines[keep]
-        order = np.lexsort((found, -cosines))
-        return found[order], cosines[order], members[found[order]]
-
-    def vote(self, term, times, but=None, own_label=0):
-        """Share of toxic votes, weighted by 1 / (distance + 0.1), as log odds; the evidence."""
-        found, cosines, members = self.nearest(term, times, but)
-        toxic = self.toxic[found].copy()
-        if but is not None:
-            toxic[found == but] -= own_label
-        weight = 1 / (1.1 - np.minimum(cosines, 1))
-        yes, votes = (weight * toxic).sum(), (weight * members).sum()
-        odds = np.log((yes + 0.5) / (votes - yes + 0.5))
-        return odds, found, cosines
-
-    def calibrate(self, vectors, labels) -> None:
+        return self.group([(term, times)], [but])[0]
+
+    def votes(self, vectors: list, own_labels: list | None = None) -> Iterator[tuple]:
+        """Of each text the share of toxic votes, weighted by 1 / (distance + 0.1), as log odds,
+        and the evidence. With ``own_labels`` the texts are examples without their own votes."""
+        for start in range(0, len(vectors), GROUP):
+            some = vectors[start : start + GROUP]
+            but = [None if own_labels is None else self.prints[_print(*v)] for v in some]
+            for i, (found, cosines, members) in enumerate(self.group(some, but)):
+                toxic = self.toxic[found].copy()
+                if but[i] is not None:
+                    toxic[found == but[i]] -= own_labels[start + i]
+                weight = 1 / (1.1 - np.minimum(cosines, 1))
+                yes, votes = (weight * toxic).sum(), (weight * members).sum()
+                yield np.log((yes + 0.5) / (votes - yes + 0.5)), found, cosines
+
+    def calibrate(self, odds, labels) -> None:
         """Slope and shift of the log odds, by Newton's method on the examples' own labels."""
-        place = {}
-        for i in range(len(self.example)):
-            term = np.flatnonzero(self.weights[:-1, i])
-            place.setdefault((term.tobytes(), self.weights[:, i].round(12).tobytes()), i)
-        known: dict[tuple, float] = {}
-        odds = []
-        for (term, times), label in zip(vectors, labels):
-            full = np.zeros(len(self.terms) + 1)
-            at, weight = self.vector(term, times)
-            full[at] = weight
-            but = place[(np.sort(term).tobytes(), full.round(12).tobytes())]
-            key = (but, int(label))
-            if key not in known:
-                known[key] = self.vote(term, times, but, int(label))[0]
-            odds.append(known[key])
         x, y = np.array(odds), np.array(labels, dtype=float)
         if not len(x) or y.min() == y.max():
             return
@@ -187,27 +298,6 @@ class Index:
         if a > 0:
             self.slope, self.shift = float(a), float(b)
 
-    def score(self, term: np.ndarray, times: np.ndarray) -> tuple[float, list]:
-        key = term.astype(np.int32).tobytes() + b"|" + times.astype(np.int32).tobytes()
-        if key not in self.remembered:
-            if len(self.remembered) > 20_000:
-                self.remembered.clear()
-            if not len(self.example):
-                self.remembered[key] = (0.0, [])
-            else:
-                odds, found, cosines = self.vote(term, times)
-                p = 1 / (1 + np.exp(-(self.slope * odds + self.shift)))
-                evidence = [
-                    {
-                        "doc_id": int(self.example[i]),
-                        "cosine": float(c),
-                        "label": int(2 * self.toxic[i] >= self.members[i]),
-                    }
-                    for i, c in zip(found[:EVIDENCE], cosines)
-                ]
-                self.remembered[key] = (float(p), evidence)
-        return self.remembered[key]
-
 
 def fit(
     docs: DataFrame,
@@ -237,90 +327,87 @@ def fit(
         )
     )
 
-    marks = [r[0] for r in texts.select("_label").collect()]
-
     def spread(batches):
         for batch in batches:
             for piece in pieces(batch, "_text"):
-                toxic = piece.column("_label").to_numpy() == 1
-                hashes, of, _ = _terms(piece.column("_text"))
-                pair = np.unique(np.stack([hashes, of.astype(np.uint64)]), axis=1)
-                distinct, place = distinct_places(pair[0])
-                bad = toxic[pair[1].astype(np.int64)]
-                n = np.bincount(place, minlength=len(distinct))
-                n_bad = np.bincount(place, weights=bad, minlength=len(distinct)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(distinct.view(np.int64)), pa.array(n), pa.array(n_bad)],
-                    ["term", "n", "n_toxic"],
-                )
-
-    n, n_toxic = len(marks), sum(marks)
-    have, bad = F.col("n"), F.col("n_toxic")
-    clean = F.lit(n - n_toxic)
-    cross = bad * (clean - (have - bad)) - (have - bad) * (F.lit(n_toxic) - bad)
-    chi2 = (
-        F.lit(float(n)) * cross * cross
-        / (F.lit(max(n_toxic, 1)) * F.greatest(clean, F.lit(1)) * have * F.greatest(F.lit(n) - have, F.lit(1)))
-    )
-    chosen = (
-        texts.mapInArrow(give_back(spread), "term long, n long, n_toxic long")
-        .groupBy("term")
-        .agg(F.sum("n").cast("double").alias("n"), F.sum("n_toxic").cast("double").alias("n_toxic"))
-        .where((bad >= LEAST_TOXIC) & (cross > 0) & (chi2 >= LEAST_CHI2))
-        .orderBy(chi2.desc(), "term")
-        .limit(TERMS)
-        .collect()
-    )
-    terms = np.sort(np.array([r.term for r in chosen], dtype=np.int64).view(np.uint64))
-
-    def vectors(batches):
-        for batch in batches:
-            for piece in pieces(batch, "_text"):
-                found = _per_text(piece.column("_text"), terms)
+                of, hashes, times = _counted(piece.column("_text"))
+                cuts = np.searchsorted(of, np.arange(piece.num_rows + 1))
+                spans = list(zip(cuts[:-1], cuts[1:]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("_id"),
                         piece.column("_label"),
-                        pa.array([t.tolist() for t, _ in found], pa.list_(pa.int64())),
-                        pa.array([c.tolist() for _, c in found], pa.list_(pa.int64())),
+                        pa.array([hashes[a:b].tobytes() for a, b in spans], pa.binary()),
+                        pa.array([times[a:b].astype(np.int32).tobytes() for a, b in spans], pa.binary()),
                     ],
                     ["_id", "_label", "terms", "times"],
                 )
 
-    kinds = "_id long, _label int, terms array<long>, times array<long>"
+    kinds = "_id long, _label int, terms binary, times binary"
     examples = sorted(
-        texts.mapInArrow(give_back(vectors), kinds).collect(),
-        key=lambda r: (r[0], r[1], r[2], r[3]),
+        (tuple(r) for r in texts.mapInArrow(give_back(spread), kinds).collect()),
+        key=lambda r: (r[0], r[1], bytes(r[2]), bytes(r[3])),
     )
+    marks = np.array([r[1] for r in examples], dtype=np.int64)
+    hashes = np.frombuffer(b"".join(r[2] for r in examples), dtype=np.uint64)
+    times = np.frombuffer(b"".join(r[3] for r in examples), dtype=np.int32)
+    cuts = np.cumsum([0, *(len(r[3]) // 4 for r in examples)])
+    ids = [r[0] for r in examples]
+    del examples
+    terms, place = distinct_places(hashes)
+    place = place.astype(np.int32)
+    del hashes
+    shared = spark.sparkContext.broadcast(terms)
 
     def frequencies(batches):
+        terms = shared.value
         total, count = np.zeros(len(terms) + 1, dtype=np.int64), 0
         for batch in batches:
             count += batch.num_rows
             for piece in pieces(batch, "_text"):
-                found = [t for t, _ in _per_text(piece.column("_text"), terms) if len(t)]
-                if found:
-                    total += np.bincount(np.concatenate(found), minlength=len(total))
+                total += np.bincount(_known(piece.column("_text"), terms)[1], minlength=len(total))
         total[-1] = count
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(total))), pa.array(total)], ["term", "n"]
-        )
+        have = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(have), pa.array(total[have])], ["term", "n"])
 
     counted = (
         docs.select(F.col(text).alias("_text"))
         .mapInArrow(give_back(frequencies), "term long, n long")
         .groupBy("term")
         .agg(F.sum("n").alias("n"))
-        .collect()
+        .toArrow()
     )
     seen_in = np.zeros(len(terms) + 1)
-    for r in counted:
-        seen_in[r.term] = r.n
+    seen_in[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
     idf = np.log((1 + seen_in[-1]) / (1 + seen_in[:-1])) + 1
-    found = [(np.array(r[2], dtype=np.int64), np.array(r[3], dtype=np.int64)) for r in examples]
-    marks = [r[1] for r in examples]
-    index = Index(terms, idf, found, marks, [r[0] for r in examples])
-    index.calibrate(found, marks)
+    bad_at = np.repeat(marks.astype(bool), np.diff(cuts))
+    factor = idf * _lift(
+        np.bincount(place, minlength=len(terms)),
+        np.bincount(place[bad_at], minlength=len(terms)),
+        len(marks),
+        int(marks.sum()),
+    )
+    found = [(place[a:b], times[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+    index = Index(terms, factor, found, marks, ids)
+    del found, place, times, bad_at
+    if len(marks):
+        fitted = spark.sparkContext.broadcast(index)
+
+        def own(batches):
+            for batch in batches:
+                for piece in pieces(batch, "_text"):
+                    vectors = _vectors(piece.column("_text"), fitted.value.terms)
+                    labels = piece.column("_label").to_pylist()
+                    odds = [v[0] for v in fitted.value.votes(vectors, labels)]
+                    yield pa.RecordBatch.from_arrays(
+                        [piece.column("_id"), piece.column("_label"), pa.array(odds, pa.float64())],
+                        ["_id", "_label", "odds"],
+                    )
+
+        fields = "_id long, _label int, odds double"
+        told = sorted(texts.mapInArrow(give_back(own), fields).collect())
+        fitted.destroy()
+        index.calibrate([r[2] for r in told], [r[1] for r in told])
     return index
 
 
@@ -330,7 +417,7 @@ def score(docs: DataFrame, index: Index, keep: list[str], text: str = "text") ->
     Columns in ``keep`` are carried along; beside them come ``score`` (0 to 1), ``predicted``
     (1 from 0.5 on) and ``evidence`` (nearest entries: an example's id, the cosine, and the label
     of most of its examples). Input columns with these names are not kept. A null or empty text
-    is scored like any text without marking terms. Equal texts have equal scores. Without
+    is scored like any text without known terms. Equal texts have equal scores. Without
     examples every score is 0. An empty table gives an empty result.
     """
     keep = [c for c in keep if c not in FIELDS.names]
@@ -343,17 +430,27 @@ def score(docs: DataFrame, index: Index, keep: list[str], text: str = "text") ->
         index = shared.value
         for batch in batches:
             for piece in pieces(batch, "_text"):
-                found = [index.score(t, n) for t, n in _per_text(piece.column("_text"), index.terms)]
-                scores = np.array([p for p, _ in found])
-                # most texts share their evidence, which is made into Arrow once
-                seen = {id(e): e for _, e in found}
-                place = {e: i for i, e in enumerate(seen)}
-                evidence = pa.array(list(seen.values()), arrow.field("evidence").type)
+                n = piece.num_rows
+                if len(index.example):
+                    voted = list(index.votes(_vectors(piece.column("_text"), index.terms)))
+                    odds = np.array([v[0] for v in voted])
+                    scores = 1 / (1 + np.exp(-(index.slope * odds + index.shift)))
+                    named = [v[1][:EVIDENCE] for v in voted]
+                    at = np.concatenate(named)
+                    cosines = np.concatenate([v[2][:EVIDENCE] for v in voted])
+                else:
+                    scores, named, at, cosines = np.zeros(n), [()] * n, np.zeros(0, dtype=np.int64), np.zeros(0)
+                offsets = np.cumsum([0, *(len(x) for x in named)])
+                label = 2 * index.toxic[at] >= index.members[at]
+                entries = pa.StructArray.from_arrays(
+                    [pa.array(index.example[at]), pa.array(cosines), pa.array(label.astype(np.int32))],
+                    ["doc_id", "cosine", "label"],
+                )
                 columns = [piece.column(c) for c in keep]
                 columns += [
                     pa.array(scores),
                     pa.array((scores >= 0.5).astype(np.int32)),
-                    evidence.take(pa.array([place[id(e)] for _, e in found])),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries),
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow

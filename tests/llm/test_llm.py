@@ -231,6 +231,31 @@ def test_toxicity_keeps_every_example(spark):
     assert index.members.sum() == 120 and index.toxic.sum() == 40
 
 
+def test_toxicity_counts_every_term(spark):
+    draw = random.Random(8)
+    common = [f"c{i}" for i in range(30)]
+    made = []
+    for i in range(400):
+        text = draw.sample(common, 12) + [f"rare{draw.randrange(300)}" for _ in range(8)]
+        made.append((i, " ".join(text + ["scum"] * (i % 9 == 0)), int(i % 9 == 0)))
+    table = spark.createDataFrame(made, "doc_id long, text string, toxic int")
+    index = toxicity.fit(table, table.select("doc_id", "toxic"), F.lit(True))
+    # clean words are terms too, so a text without toxic ones is nearest to its own copy
+    scored = toxicity.score(table, index, ["doc_id"]).collect()
+    assert len(index.terms) > 300
+    for r in scored:
+        assert r.evidence[0].doc_id == r.doc_id and r.evidence[0].cosine == pytest.approx(1)
+        assert len(r.evidence) == toxicity.NEIGHBOURS
+    # only some blocks are scored, with the result of scoring all
+    for _, text, _ in made[:40]:
+        (term, times), = toxicity._vectors(pa.array([text]), index.terms)
+        found, cosines, _ = index.nearest(term, times)
+        at, weight = index.vector(term, times)
+        every = weight @ index.weights[at]
+        assert cosines[:15] == pytest.approx(np.sort(every)[::-1][:15])
+        assert cosines == pytest.approx(every[found])
+
+
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(maxscore, "SHARD", 70)
     monkeypatch.setattr(maxscore, "BLOCK", 7)
