@@ -67,7 +67,9 @@ def _pack(vectors: DataFrame, parts: int) -> DataFrame:
             }
         )
 
-    dealt = vectors.withColumn("part", F.pmod(F.xxhash64("_id"), F.lit(parts)))
+    # the row's number spreads repeated rows, which would all go to one part otherwise
+    row = F.xxhash64("_id", "_v", F.monotonically_increasing_id())
+    dealt = vectors.withColumn("part", F.pmod(row, F.lit(parts)))
     return dealt.groupBy("part").applyInArrow(pack, _PACKED)
 
 
@@ -95,9 +97,9 @@ def search(
             return np.full(len(scores), low, dtype=exact)
         return np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
 
-    # one more than k, since the query's own vector may be among them
-    k = k + 1
-    threshold = kth(q @ v[:SEED].T)
+    # however often a query's own id is repeated, none of its rows counts for a threshold
+    own = q_ids[:, None] == ids
+    threshold = kth(np.where(own[:, :SEED], low, q @ v[:SEED].T))
     bounds = np.maximum(q * v.max(axis=0, initial=0), q * v.min(axis=0, initial=0))
     order = np.argsort(bounds, axis=1)
     ordered = np.take_along_axis(bounds, order, axis=1)
@@ -109,16 +111,18 @@ def search(
     partial = np.where(non_essential, 0, q) @ v.T
     probe = np.where(non_essential, q, 0)
     if len(ids) > 4 * k:
-        likely = np.argpartition(partial, len(ids) - 2 * k, axis=1)[:, len(ids) - 2 * k :]
+        others = np.where(own, low, partial)
+        likely = np.argpartition(others, len(ids) - 2 * k, axis=1)[:, len(ids) - 2 * k :]
         full = np.take_along_axis(partial, likely, axis=1)
         full = full + np.einsum("qd,qcd->qc", probe, v[likely])
+        full = np.where(np.take_along_axis(own, likely, axis=1), low, full)
         threshold = np.maximum(threshold, kth(full))
-    query, vector = np.nonzero(partial + rest[:, None] >= threshold[:, None])
+    query, vector = np.nonzero((partial + rest[:, None] >= threshold[:, None]) & ~own)
     scores = partial[query, vector]
     for at in range(0, len(query), 1 << 15):
         some = slice(at, at + (1 << 15))
         scores[some] += np.einsum("nd,nd->n", probe[query[some]], v[vector[some]])
-    alive = (scores >= threshold[query]) & (ids[vector] != q_ids[query])
+    alive = scores >= threshold[query]
     return query[alive], ids[vector[alive]], scores[alive].astype(np.int64)
 
 

@@ -278,6 +278,29 @@ def test_top_k(spark, monkeypatch):
     assert maxscore.top_k(table.where("vec_id = 0"), table.limit(0)).count() == 0
 
 
+def test_top_k_with_repeated_ids(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    made = draw.normal(0, 0.2, (400, 9)).round(2)
+    vectors = [(i, v.tolist()) for i, v in enumerate(made)]
+    vectors += [(0, (3 * made[0]).round(2).tolist())] * 25 + [(7, vectors[7][1])] * 25
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").coalesce(2)
+    fine = [(i, np.floor(64 * np.float32(v).astype(float)).astype(int)) for i, v in vectors]
+    asked = [x for x in fine[:400] if x[0] in (0, 7, 11)]
+    expected = []
+    for q, a in asked:
+        best = sorted((-int(a @ b), i) for i, b in fine if i != q)[:20]
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    queries = spark.createDataFrame([vectors[q] for q, _ in asked], table.schema)
+    for shard in (4096, 70):
+        monkeypatch.setattr(maxscore, "SHARD", shard)
+        found = maxscore.top_k(queries, table, k=20).select("query_id", "rank", "vec_id", "score")
+        assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
+    # the rows of one id are dealt to all shards
+    same = spark.createDataFrame([vectors[7]] * 400, table.schema)
+    parts = maxscore._pack(maxscore.quantised(same, "vec_id", "embedding"), 4).collect()
+    assert len(parts) == 4 and max(len(r.ids) // 8 for r in parts) < 200
+
+
 def test_substring(docs, rows, empty):
     found = substring.remove_repeats(docs, ["doc_id", "n_words"][:1]).toPandas()
     split = [_split(t) for _, t in rows]
