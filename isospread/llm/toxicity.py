@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from isospread.llm.memory import give_back
-from isospread.llm.words import ALNUM, Words, distinct_places, mix, pieces, run_heads
+from isospread.llm.words import ALNUM, Words, mix, pieces, run_heads
 from isospread.sources.storage import settle
 
 #: Labelled rows the classifier is fitted on: its only bound.
@@ -124,19 +124,29 @@ def _lift(n: np.ndarray, n_toxic: np.ndarray, of: int, of_toxic: int) -> np.ndar
 class Postings:
     """Weights of the terms (rows, the common one last) in the entries, row by row."""
 
-    def __init__(self, rows: int, width: int, term, entry, weight):
-        """Of postings in order of the entries."""
-        order = np.argsort(term, kind="stable").astype(np.int32)
-        self.width = width
-        self.cuts = np.append(0, np.cumsum(np.bincount(term, minlength=rows)))
-        self.entry, self.weight = entry[order], weight[order]
+    def __init__(self, factor, term, entry, times):
+        """Of postings in order of the entries; an entry has unit length with its common term."""
+        order = np.argsort(term, kind="stable")
+        self.cuts = np.append(0, np.cumsum(np.bincount(term, minlength=len(factor))))
+        self.entry, self.times, self.factor = entry[order], times[order], factor
+        self._weight = None
+
+    @property
+    def weight(self) -> np.ndarray:
+        """Made where it is needed, so that counts are sent rather than weights."""
+        if self._weight is None:
+            weight = (1 + np.log(self.times)) * np.repeat(self.factor, np.diff(self.cuts))
+            self.width = int(self.entry.max(initial=-1)) + 1
+            self._weight = weight / np.sqrt(np.bincount(self.entry, weights=weight**2))[self.entry]
+        return self._weight
 
     def __getitem__(self, term: np.ndarray) -> np.ndarray:
         """Some rows in full."""
         lengths = self.cuts[term + 1] - self.cuts[term]
         at = _stretches(self.cuts[term], lengths)
+        weight = self.weight
         out = np.zeros((len(term), self.width))
-        out[np.repeat(np.arange(len(term)), lengths), self.entry[at]] = self.weight[at]
+        out[np.repeat(np.arange(len(term)), lengths), self.entry[at]] = weight[at]
         return out
 
 
@@ -160,7 +170,7 @@ class Index:
         self.often = np.flatnonzero(have * FREQUENT >= max(n, 1))
         self.place = np.full(rows, -1, dtype=np.int32)
         self.place[self.often] = np.arange(len(self.often))
-        dense = np.zeros((n, len(self.often)))
+        dense = np.zeros((n, len(self.often)), dtype=np.float32)
         for i, e in enumerate(entries.values()):
             term, weight = self.vector(e[0], e[1])
             often = self.place[term] >= 0
@@ -174,7 +184,8 @@ class Index:
         self.heads = np.append(heads, n)
         self.block_max = np.zeros((len(self.often), len(heads)))
         for i, head in enumerate(heads):
-            self.block_max[:, i] = dense[order[head : head + BLOCK]].max(axis=0)
+            most = dense[order[head : head + BLOCK]].max(axis=0)
+            self.block_max[:, i] = most.astype(float) * (1 + 1e-6)  # no rounding goes below
         del dense
         prints, kept = list(entries), list(entries.values())
         self.members = np.array([kept[i][2] for i in order], dtype=float)
@@ -184,11 +195,12 @@ class Index:
         sizes = np.array([len(kept[i][0]) + 1 for i in order], dtype=np.int64)
         ends = np.cumsum(sizes)
         term = np.empty(int(sizes.sum()), dtype=np.int32)
-        weight = np.empty(len(term))
+        counts = np.ones(len(term), dtype=np.int32)
         for i, end, size in zip(order, ends, sizes):
-            term[end - size : end], weight[end - size : end] = self.vector(kept[i][0], kept[i][1])
+            term[end - size : end - 1], term[end - 1] = kept[i][0], len(terms)
+            counts[end - size : end - 1] = kept[i][1]
         entry = np.repeat(np.arange(n, dtype=np.int32), sizes)
-        self.weights = Postings(rows, n, term, entry, weight)
+        self.weights = Postings(np.append(factor, COMMON), term, entry, counts)
         self._full = None
         self.slope, self.shift = 1.0, 0.0
 
@@ -354,8 +366,10 @@ def fit(
     cuts = np.cumsum([0, *(len(r[3]) // 4 for r in examples)])
     ids = [r[0] for r in examples]
     del examples
-    terms, place = distinct_places(hashes)
-    place = place.astype(np.int32)
+    terms = np.unique(hashes)
+    place = np.empty(len(hashes), dtype=np.int32)
+    for at in range(0, len(hashes), 1 << 18):
+        place[at : at + (1 << 18)] = np.searchsorted(terms, hashes[at : at + (1 << 18)])
     del hashes
     shared = spark.sparkContext.broadcast(terms)
 
