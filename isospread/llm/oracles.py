@@ -101,9 +101,138 @@ LEFT JOIN copies USING (doc_id)
 LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a) USING (doc_id)
 """
 
+
+def _after(state: str, cost: str, edit: str, line: str | None = None, only: str = "true") -> str:
+    """A state after one more edit, null where the state is or where the edit isn't allowed."""
+    lines = f"list_append({state}.lines, {line})" if line else f"{state}.lines"
+    return (
+        f"CASE WHEN {state} IS NOT NULL AND {only} THEN {{'cost': {state}.cost + {cost}, "
+        f"'audit': {state}.audit || '{edit}', 'lines': {lines}}} END"
+    )
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _closed(table: str) -> str:
+    """States 2 and 3 after any number of insertions; 0 and 1 are only left by them."""
+    two = _least(f"{table}.s2", *(_after(f"{table}.s{i}", "5", "I", "'user:'") for i in (0, 1, 3)))
+    return (
+        f"SELECT *, {_least('s3', _after('c2', '5', 'I', chr(39) + 'assistant:' + chr(39)))} AS c3 "
+        f"FROM (SELECT *, {two} AS c2 FROM {table})"
+    )
+
+
+def _taken(start: str, initial: str, full: str) -> list[str]:
+    return [
+        _after(start, "more", "K", "role || ':' || text", f"stays AND initial = '{initial}'"),
+        _after(start, "more + 1", "R", f"'{full}:' || text", "stays"),
+    ]
+
+
+OP12 = f"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(
+            [i::UBIGINT] || list_transform(range(8), lambda x: x::UBIGINT),
+            lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END
+        ) AS v FROM range(256) r(i)
+    )
+), named AS (
+    SELECT conv_id, coalesce(conv_id::VARCHAR, ' ') AS k, turn, coalesce(role, ' ') AS role,
+           coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS id
+    FROM conversations
+), hit AS (
+    SELECT named.*, xor(4294967295::UBIGINT, list_reduce(
+        [4294967295::UBIGINT] || list_transform(string_split(id, ''), lambda c: ascii(c)::UBIGINT),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::INT + 1])
+    )) % 20 AS what
+    FROM named, crc_table
+), damaged AS (
+    SELECT k, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+           CASE what WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(CASE WHEN what = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM hit WHERE what <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, sha256(text)) AS n,
+           left(role, 1) AS initial,
+           right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending
+    FROM damaged
+), faulty AS (
+    SELECT *, CASE WHEN ending = '' THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY n) > 1 THEN 'duplicate'
+        WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        lag(initial) OVER (PARTITION BY k ORDER BY n) || initial AS step
+    FROM placed
+), rows AS (
+    SELECT *, fault NOT IN ('blank', 'duplicate') AS stays,
+           CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more
+    FROM faulty
+), dp AS (
+    SELECT DISTINCT k, 0::BIGINT AS n, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS s0,
+           NULL::STRUCT(cost INT, audit VARCHAR, lines VARCHAR[]) AS s1,
+           NULL::STRUCT(cost INT, audit VARCHAR, lines VARCHAR[]) AS s2,
+           NULL::STRUCT(cost INT, audit VARCHAR, lines VARCHAR[]) AS s3
+    FROM named
+    UNION ALL
+    SELECT c.k, c.n + 1, {_after("s0", "2", "D")},
+           {_least(_after("s1", "2", "D"), _taken("s0", "s", "")[0])},
+           {_least(_after("c2", "2", "D"), *(w for s in ("s0", "s1", "c3") for w in _taken(s, "u", "user")))},
+           {_least(_after("c3", "2", "D"), *_taken("c2", "a", "assistant"))}
+    FROM ({_closed("dp")}) c JOIN rows ON rows.k = c.k AND rows.n = c.n + 1
+), summed AS (
+    SELECT k, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (step NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM rows GROUP BY k
+), done AS (
+    SELECT k, n, {_least("s0", "c3")} AS best FROM ({_closed("dp")})
+)
+SELECT any_value(conv_id) AS conv_id, coalesce(any_value(gaps), 0)::BIGINT AS gaps,
+       coalesce(any_value(blank), 0)::BIGINT AS blank,
+       coalesce(any_value(duplicate), 0)::BIGINT AS duplicate,
+       coalesce(any_value(truncated), 0)::BIGINT AS truncated,
+       coalesce(any_value(illegal), 0)::BIGINT AS illegal,
+       any_value(best.cost)::BIGINT AS cost, any_value(best.audit) AS audit,
+       sha256(any_value(array_to_string(best.lines, chr(10)))) AS repaired_sha256
+FROM named LEFT JOIN summed USING (k) JOIN done ON done.k = named.k AND done.n = coalesce(summed.n, 0)
+GROUP BY named.k
+"""
+
+OP13 = f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT r, list_aggregate(w[s : s + 3], 'string_agg', ' ') AS x
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM d WHERE len(w) > 0)
+), sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r
+), common AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.x = b.x AND a.r <> b.r GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON a = x.r JOIN sizes y ON b = y.r
+    WHERE 100 * common.n >= 80 * (x.n + y.n - common.n)
+), reach AS (
+    SELECT r, r AS other FROM d
+    UNION SELECT reach.r, links.b FROM reach JOIN links ON reach.other = links.a
+), least AS (
+    SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON reach.other = d.r GROUP BY reach.r
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id,
+       doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN least USING (r) LEFT JOIN sizes USING (r)
+"""
+
 ORACLES = {
     "op4_maxscore_topk": OP4,
     "op5_substring_dedup": OP5,
     "op6_decontaminate": OP6,
     "op8_jaccard_join": OP8,
+    "op12_conversation_repair": OP12,
+    "op13_sketch_near_copies": OP13,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isospread.llm import (
+    align,
     decontam,
     html,
     jaccard,
@@ -13,6 +14,8 @@ from isospread.llm import (
     lm,
     maxscore,
     mix,
+    neardup,
+    repair,
     substring,
     tokens,
     toxicity,
@@ -24,13 +27,14 @@ __all__ = ["ORACLES", "QUERIES"]
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
-def tokenizer_file() -> str:
-    """The vocabulary on this machine; it is sent to the executors."""
+def tokenizer_file(name: str = TOKENIZER) -> str:
+    """A vocabulary on this machine; it is sent to the executors."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +137,21 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between two tokenizers' tokens of every document."""
+    return align.align_tokens(_documents(spark, sf_dir), *map(tokenizer_file, ALIGNED))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after damage."""
+    return repair.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
+def op13_sketch_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies."""
+    return neardup.near_copies(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_lm_scores": op2_lm_scores,
@@ -144,4 +163,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_main_text": op10_main_text,
+    "op11_align_tokenizers": op11_align_tokenizers,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_sketch_near_copies": op13_sketch_near_copies,
 }
