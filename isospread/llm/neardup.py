@@ -122,7 +122,7 @@ def sketches(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarr
     rows = owner[heads]
     for k in np.flatnonzero((filled == EMPTY).any(axis=0)):
         h = mix(values * _odd[t + k] + _shift[t + k])
-        least = np.minimum.reduceat(h, heads) & low32 | np.uint64((t + k) << 32)
+        least = np.minimum.reduceat(h & low32, heads) | np.uint64((t + k) << 32)
         filled[rows, k] = np.minimum(filled[rows, k], least)
     return filled
 
