@@ -6,6 +6,8 @@ tables. All but the last return the columns they were given.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,38 +15,60 @@ from isospread.llm import decontam, jaccard, linededup, mix, toxicity
 from isospread.sources.storage import scratch_path
 
 
+#: The column with a text's length while a stage works.
+LENGTH = "__n_chars"
+
+
+def _apart(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on the documents with all columns but id and text under names of their own, so that
+    none clashes with a column that an operator adds; the names are put back afterwards."""
+    known = {"doc_id": "doc_id", "text": "text", "n_chars": LENGTH}
+    others = [c for c in docs.columns if c not in known]
+    names = known | {c: f"__column_{i}" for i, c in enumerate(others)}
+    done = work(docs.select(*(F.col(f"`{c}`").alias(names[c]) for c in docs.columns)))
+    return done.select(*(F.col(names[c]).alias(c) for c in docs.columns))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose toxicity score is 0.5 or more."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     crc = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0))
-    index = toxicity.fit(docs, labels, crc % 5 != 0)
-    scored = toxicity.score(docs, index, docs.columns)
-    return scored.where(scored["predicted"] == 0).select(*docs.columns)
+
+    def clean(docs: DataFrame) -> DataFrame:
+        index = toxicity.fit(docs, labels, crc % 5 != 0)
+        return toxicity.score(docs, index, docs.columns).where("predicted = 0")
+
+    return _apart(docs, clean)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without lines that an earlier one nearly equals; a document left without any words goes."""
-    cut = linededup.dedup_lines(docs, docs.columns)
-    emptied = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines"))
-    changed = cut.where(~emptied).withColumn("text", F.col("kept_text"))
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        changed = changed.withColumn(
-            "n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars"))
-        )
-    return changed.select(*docs.columns)
+    """Without lines that an earlier one nearly equals; a document left without any words goes.
+
+    A column ``n_chars`` is brought up to date where lines go.
+    """
+
+    def cut(docs: DataFrame) -> DataFrame:
+        found = linededup.dedup_lines(docs, docs.columns)
+        emptied = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines"))
+        found = found.where(~emptied).withColumn("text", F.col("kept_text"))
+        if LENGTH in docs.columns:
+            length = F.length("text").cast(docs.schema[LENGTH].dataType)
+            changed = F.when(F.col("n_removed") > 0, length).otherwise(F.col(LENGTH))
+            found = found.withColumn(LENGTH, changed)
+        return found
+
+    return _apart(docs, cut)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of similar ones."""
-    return jaccard.one_of_each(docs)
+    return _apart(docs, jaccard.one_of_each)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that hold a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontam.find_items(docs, benchmark, docs.columns)
-    return found.where(F.col("n_hit") == 0).select(*docs.columns)
+    return _apart(docs, lambda d: decontam.find_items(d, benchmark, d.columns).where("n_hit = 0"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
