@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime
+from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isospread.operators.grids import GridCube
 from isospread.sources.storage import broadcast_if_small, settle
 
 MEMBER = "ensemble_member"
@@ -54,11 +56,16 @@ def first_n_timesteps(df: DataFrame, n: int = 10, member: str = MEMBER) -> DataF
     )
 
 
-def subset(df: DataFrame, **ranges: tuple[Any, Any]) -> DataFrame:
+def subset(df: DataFrame | GridCube, **ranges: tuple[Any, Any]) -> DataFrame | GridCube:
     """Rows whose coordinates lie in closed ranges: ``subset(df, time=(a, b), lat=(-30, 30))``.
 
     Bounds become literals of the column's own type, so that the comparison reaches the scan.
+    Of variables on several grids each grid is limited along the coordinates that it has.
     """
+    if isinstance(df, GridCube):
+        for name, bounds in ranges.items():
+            df = df.map(partial(subset, **{name: bounds}), [name])
+        return df
     for name, bounds in ranges.items():
         kind = df.schema[name].dataType
         texts = (b.isoformat(sep=" ") if isinstance(b, datetime) else b for b in bounds)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from isospread.functions.physics import TBRT_ATTRS, brightness_temperature
+from isospread.operators.grids import GridCube
 
 MEMBER = "ensemble_member"
 
@@ -61,8 +62,13 @@ def apply_groups(
     return require_member(df.groupBy(*keys).applyInPandas(function, schema), "the group function")
 
 
-def brightness(cube: DataFrame) -> DataFrame:
-    """The sample analysis: ``FLNT`` and the brightness temperature ``TBRT`` made from it."""
+def brightness(cube: DataFrame | GridCube) -> DataFrame:
+    """The sample analysis: ``FLNT`` and the brightness temperature ``TBRT`` made from it.
+
+    Of variables on several grids only the cells of ``FLNT``'s own are used.
+    """
+    if isinstance(cube, GridCube):
+        cube = cube.select("FLNT")
     keys = [c for c in (MEMBER, "time", "lev", "lat", "lon") if c in cube.columns]
     return cube.select(
         *keys, "FLNT", brightness_temperature(F.col("FLNT")).alias("TBRT")

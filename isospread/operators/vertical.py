@@ -15,6 +15,7 @@ from isospread.functions.physics import (
     hybrid_pressure,
     null_if_nan,
 )
+from isospread.operators.grids import GridCube
 from isospread.sources.storage import broadcast_if_small
 
 
@@ -105,3 +106,26 @@ def remap_hybrid_to_pressure(
     """Remap a merged field from hybrid levels to pressure levels; ``lev`` becomes ``plev``."""
     placed = pressure_from_hybrid(cube, coefficients, surface_pressure, column, lev, p0)
     return interp_to_pressure(placed, column, value, levels_hpa=levels_hpa)
+
+
+def remap_from_member(
+    cube: GridCube,
+    value: str,
+    lev: str = "lev",
+    surface: str = "PS",
+    coefficients: Sequence[str] = ("hyam", "hybm"),
+    p0: float = REFERENCE_PRESSURE_PA,
+    levels_hpa: Sequence[float] = STANDARD_LEVELS_HPA,
+) -> DataFrame:
+    """Remap a field to pressure levels with its own member's surface pressure and coefficients.
+
+    ``surface`` has no levels, and ``coefficients`` have little else; both are aligned with the
+    field inside the cube. The field and its surface pressure are shuffled by column once, and the
+    interpolation works on those partitions. A column without surface pressure is NULL throughout.
+    """
+    together = cube.select(value, surface, *coefficients)
+    column = [c for c in together.columns if c not in (lev, value, surface, *coefficients)]
+    hyam, hybm = coefficients
+    pressure = hybrid_pressure(F.col(hyam), F.col(hybm), F.col(surface), p0)
+    placed = together.select(*column, lev, value, pressure.alias("pressure"))
+    return interp_to_pressure(placed, column, value, levels_hpa=levels_hpa)

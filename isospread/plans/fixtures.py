@@ -111,6 +111,33 @@ FROM {lineitem}
 GROUP BY l_orderkey, l_linenumber
 """
 
+# Cells of variables on grids of their own: T has levels, PS and FLNT have none, and the
+# coefficients have nothing but levels. Some columns lack PS, and T comes in two agreeing pieces.
+GRID_CELLS = """
+SELECT ensemble_member, var, path, time, lev, lat, lon, max(value) AS value FROM (
+  SELECT ensemble_member, 'T' AS var, piece AS path, time, lev, lat, lon, value
+  FROM (SELECT *, {explode} AS piece FROM {columns}) t
+  UNION ALL
+  SELECT ensemble_member, 'PS', 'piece_a', time, cast(NULL AS double), lat, lon, ps
+  FROM {columns} WHERE col_id % 13 > 0
+  UNION ALL
+  SELECT ensemble_member, 'FLNT', 'piece_a', time, cast(NULL AS double), lat, lon, value * 5
+  FROM {columns}
+  UNION ALL
+  SELECT ensemble_member, 'hyam', 'piece_a', cast(NULL AS {ntz}), lev, cast(NULL AS double),
+         cast(NULL AS double), cast(0.005 AS double) * lev FROM {columns}
+  UNION ALL
+  SELECT ensemble_member, 'hybm', 'piece_a', cast(NULL AS {ntz}), lev, cast(NULL AS double),
+         cast(NULL AS double), cast(0.135 AS double) * lev FROM {columns}) c
+GROUP BY ensemble_member, var, path, time, lev, lat, lon
+""".replace("{columns}", """(
+  SELECT l_orderkey AS col_id, concat('m', cast(l_orderkey % 4 AS STRING)) AS ensemble_member,
+         cast('2000-01-01 00:00:00' AS {ntz}) AS time, cast(l_linenumber AS double) AS lev,
+         cast(l_orderkey % 90 AS double) AS lat, cast(floor(l_orderkey / 90) AS double) AS lon,
+         cast(max(l_quantity) AS double) AS value,
+         cast(95000 + (l_orderkey % 100) * 100 AS double) AS ps
+  FROM {lineitem} GROUP BY l_orderkey, l_linenumber) x""")
+
 # Preprocessing arguments as text, some with a repeated key.
 KWARGS = """
 SELECT event_id, concat('DATALEV&&', cast(user_id AS STRING), '_KIND&&', event_type,
@@ -127,6 +154,7 @@ FIXTURES = {
     "fx_cube_long": CUBE_LONG,
     "fx_cells": CELLS,
     "fx_hybrid": HYBRID,
+    "fx_grid_cells": GRID_CELLS,
     "fx_kwargs": KWARGS,
 }
 TABLES = ("orders", "events", "lineitem")

@@ -73,7 +73,28 @@ SELECT w.col_id, w.plev, round(f.value, 6) AS value
 FROM wanted w LEFT JOIN found f ON w.col_id = f.col_id AND w.plev = f.plev
 """
 
+# The columns of ``fx_grid_cells`` without the grids: one row for each level of an order.
+_MEMBER_COLUMNS = """
+fx_member AS (SELECT l_orderkey AS col_id, cast(l_linenumber AS DOUBLE) AS lev,
+    cast(max(l_quantity) AS DOUBLE) AS value,
+    cast(0.005 AS DOUBLE) * l_linenumber AS hyam, cast(0.135 AS DOUBLE) * l_linenumber AS hybm,
+    CASE WHEN l_orderkey % 13 > 0 THEN cast(95000 + (l_orderkey % 100) * 100 AS DOUBLE) END AS ps
+  FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
+_MEMBER_CELL = """'m' || cast({0} % 4 AS VARCHAR) AS ensemble_member,
+    TIMESTAMP '2000-01-01 00:00:00' AS time, cast({0} % 90 AS DOUBLE) AS lat,
+    cast(floor({0} / 90) AS DOUBLE) AS lon"""
+
 ORACLES = {
+    "merge_mixed_grids": f"""WITH {_MEMBER_COLUMNS}
+        SELECT {_MEMBER_CELL.format('col_id')}, lev, value AS T, ps AS PS FROM fx_member""",
+    "brightness_mixed_grids": f"""WITH {_MEMBER_COLUMNS}
+        SELECT *, {TBRT} AS TBRT FROM (SELECT {_MEMBER_CELL.format('col_id')}, max(value) * 5 AS FLNT
+          FROM fx_member GROUP BY col_id) c""",
+    "remap_from_member": f"WITH {_MEMBER_COLUMNS}"
+    + _INTERPOLATED.replace("fx_hybrid", "fx_member").replace(
+        "SELECT w.col_id, w.plev, round(f.value, 6) AS value",
+        f"SELECT {_MEMBER_CELL.format('w.col_id')}, w.plev, round(f.value, 6) AS T",
+    ),
     "catalog_scan": _one(
         "fx_catalog", "SELECT * FROM fx_catalog WHERE var = 'T' AND contains(fname, '.nc')"
     ),

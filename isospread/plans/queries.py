@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from isospread import registry
 from isospread.functions import naming, physics, text
-from isospread.operators import assign, axis, discovery, members, merge, vertical
+from isospread.operators import assign, axis, discovery, grids, members, merge, vertical
 from isospread.plans import run
 from isospread.plans.fixtures import fixture
 from isospread.plans.options import RunOptions
@@ -211,6 +211,23 @@ def merge_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_override(fixture(spark, sf_dir, "fx_cube_long"), VARIABLES)
 
 
+def _grid_cube(spark: SparkSession, sf_dir: str) -> grids.GridCube:
+    variables = ["FLNT", "PS", "T", "hyam", "hybm"]
+    return grids.merge_grids(fixture(spark, sf_dir, "fx_grid_cells"), variables)
+
+
+@query
+def merge_mixed_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field with levels beside one without, each merged on its own grid."""
+    return _grid_cube(spark, sf_dir).select("T", "PS")
+
+
+@query
+def brightness_mixed_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample analysis of a member that has variables with levels, too."""
+    return _rounded(members.brightness(_grid_cube(spark, sf_dir)), "TBRT")
+
+
 @query
 def first_n_timesteps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return axis.first_n_timesteps(fixture(spark, sf_dir, "fx_cube"), 10)
@@ -338,6 +355,12 @@ def remap_hybrid_to_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(levels, "value")
 
 
+@query
+def remap_from_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with surface pressure and coefficients of the member itself."""
+    return _rounded(vertical.remap_from_member(_grid_cube(spark, sf_dir), "T"), "T")
+
+
 # Results
 
 

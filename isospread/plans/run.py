@@ -9,15 +9,16 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isospread.operators import assign, axis, discovery, members, merge
+from isospread.operators import assign, axis, discovery, grids, members, merge
+from isospread.operators.grids import GridCube
 from isospread.plans.options import TEST_MEMBERS, TEST_TIMES, RunOptions
 from isospread.sources import case_list, catalog as catalogs, results
 from isospread.sources.storage import broadcast_if_small, settle
 
 log = logging.getLogger(__name__)
 
-Preprocess = Callable[[DataFrame, dict], DataFrame]
-Analyse = Callable[[DataFrame], DataFrame]
+Preprocess = Callable[[DataFrame | GridCube, dict], DataFrame | GridCube]
+Analyse = Callable[[DataFrame | GridCube], DataFrame]
 
 
 class RunResult(NamedTuple):
@@ -71,19 +72,19 @@ def analyse_members(
 
     ``case_files`` should be settled, being read several times. Truncation comes before the
     merge, so that dropped times are never shuffled. Until the cells are merged a member is a
-    number.
+    number. Variables on different grids reach the user's functions as a ``GridCube``.
     """
     files, names = merge.number_files(case_files, options.merge_mode == "override")
     wanted = discovery.keep_variables(cells, options.variables)
     numbered = merge.number_cells(wanted, files)
     if options.truncates_time:
         numbered = axis.first_n_timesteps(numbered, TEST_TIMES, merge.MEMBER_NUMBER)
-    cube = merge.merge(numbered, options.variables, options.merge_mode, names)
+    cube = grids.merge_grids(numbered, options.variables, options.merge_mode, names).whole()
     if preprocess is not None and not options.skip_preprocess:
         cube = members.apply_native(cube, preprocess, dict(options.preprocess_kwargs))
     if analyse is not None:
         cube = members.apply_native(cube, analyse)
-    return cube
+    return cube.stacked() if isinstance(cube, GridCube) else cube
 
 
 def run_ensemble(
