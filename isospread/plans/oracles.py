@@ -202,6 +202,17 @@ ORACLES = {
             SELECT casename AS ensemble_member, fx_cells.*
             FROM fx_cells JOIN case_files ON fx_cells.path = case_files.path""",
     ),
+    "member_scan_pruned": _one(
+        "fx_cells",
+        f""", {CELL_FILES}, {_le_cases('files')}, {_assigned('files')}
+            SELECT casename AS ensemble_member, fx_cells.*
+            FROM fx_cells JOIN case_files ON fx_cells.path = case_files.path""",
+    ),
+    "member_sink_rerun": _one(
+        "fx_cube",
+        f"""SELECT {CELL}, CASE WHEN ensemble_member < 'l' THEN FLNT * 2 ELSE FLNT END AS FLNT,
+              {TBRT} AS TBRT FROM fx_cube""",
+    ),
     "concat_time_pieces": _one(
         "fx_cells",
         f""", {CELL_FILES}, {_le_cases('files')}, {_assigned('files')}

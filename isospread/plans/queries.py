@@ -16,7 +16,7 @@ from isospread.operators import assign, axis, discovery, grids, members, merge,
 from isospread.plans import run
 from isospread.plans.fixtures import fixture
 from isospread.plans.options import RunOptions
-from isospread.sources import case_list, catalog as catalogs, results
+from isospread.sources import case_list, catalog as catalogs, cells as cell_tables, results
 from isospread.sources.storage import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +176,27 @@ def member_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(spark, sf_dir)
 
 
+@query
+def member_scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table grouped by file, of which only the members' groups are read."""
+    path = scratch_path(spark, "cells")
+    cell_tables.write_cells(fixture(spark, sf_dir, "fx_cells"), path)
+    case_files = _case_files(spark, sf_dir)
+    grouped = cell_tables.read_cells(spark, path, ["FLNT", "T"], grouped=True).drop("lev")
+    return merge.label_members(cell_tables.cells_of_files(grouped, case_files), case_files)
+
+
+@query
+def member_sink_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved members after half of them were analysed again, with twice the flux."""
+    path = scratch_path(spark, "committed")
+    analysed = members.brightness(fixture(spark, sf_dir, "fx_cube"))
+    results.commit_members(analysed, analysed, path)
+    again = analysed.where(F.col("ensemble_member") < "l").withColumn("FLNT", F.col("FLNT") * 2)
+    results.commit_members(again, again, path)
+    return _rounded(results.read_committed(spark, path, analysed.schema), "TBRT")
+
+
 @query
 def concat_time_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = _labelled(spark, sf_dir).drop("path")

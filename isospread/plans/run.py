@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from isospread.operators import assign, axis, discovery, grids, members, merge
 from isospread.operators.grids import GridCube
 from isospread.plans.options import TEST_MEMBERS, TEST_TIMES, RunOptions
-from isospread.sources import case_list, catalog as catalogs, results
+from isospread.sources import case_list, catalog as catalogs, cells as cell_tables, results
 from isospread.sources.storage import broadcast_if_small, settle
 
 log = logging.getLogger(__name__)
@@ -76,6 +76,7 @@ def analyse_members(
     """
     files, names = merge.number_files(case_files, options.merge_mode == "override")
     wanted = discovery.keep_variables(cells, options.variables)
+    wanted = cell_tables.cells_of_files(wanted, files)
     numbered = merge.number_cells(wanted, files)
     if options.truncates_time:
         numbered = axis.first_n_timesteps(numbered, TEST_TIMES, merge.MEMBER_NUMBER)
@@ -117,9 +118,8 @@ def run_ensemble(
 
     analysed = analyse_members(cells, case_files, options, preprocess, analyse)
     processed = settle(case_files.select(F.col("casename").alias(results.MEMBER)).distinct())
-    results.clear_members(processed, options.members_path)
-    results.write_members(analysed, options.members_path)
-    saved = results.read_members(spark, options.members_path, analysed.schema).join(
+    results.commit_members(analysed, processed, options.members_path)
+    saved = results.read_committed(spark, options.members_path, analysed.schema).join(
         broadcast_if_small(processed), results.MEMBER, "left_semi"
     )
     written = saved.select(results.MEMBER).distinct()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from isospread import registry
 from isospread.operators.discovery import keep_extension, keep_variables
+from isospread.sources.listing import FolderListing
 
 CATALOG_SCHEMA = "path STRING, var STRING, fname STRING"
 
@@ -34,6 +35,22 @@ def list_files(spark: SparkSession, root: str, variables: Iterable[str]) -> Data
     )
 
 
+def list_folders(spark: SparkSession, root: str, variables: Iterable[str]) -> DataFrame:
+    """The same listing by one task for each variable's folder, however many files it holds.
+
+    For large archives on a local or mounted path, or a store that PyArrow knows by its URI.
+    ``list_files`` reaches any store that Spark's readers do, at a task for each large file.
+    """
+    spark.dataSource.register(FolderListing)
+    return (
+        spark.read.format(FolderListing.name())
+        .option("root", root)
+        .option("variables", ",".join(variables))
+        .option("contains", ".nc")
+        .load()
+    )
+
+
 def scan_for_discovery(
     catalog: DataFrame, variable: str = registry.EXEMPLAR_VARIABLE
 ) -> DataFrame:
