@@ -2,8 +2,8 @@
 
 The tokenizer never joins characters across white space, so the count of a prefix that ends with
 a word is the count of the prefix before plus the word's own. Words are counted by the tokenizer's
-library, each distinct word once (by a 64-bit hash), and the running counts are stored: how many tokens a prefix
-has, and where a text must be cut for a budget, is then answered without encoding again.
+library, each distinct word once, and the running counts are stored: how many tokens a prefix has,
+and where a text must be cut for a budget, is then answered without encoding again.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from isospread.llm.memory import give_back
-from isospread.llm.words import SPACED, Words, distinct_places, pieces
+from isospread.llm.words import SPACED, Words, pieces
 
-#: Words a worker remembers between pieces of text (12 bytes each), before it starts anew.
-REMEMBERED = 4_000_000
+#: Words a worker remembers between pieces of text, before it starts anew.
+REMEMBERED = 500_000
 
 FIELDS = (
     T.StructType()
@@ -43,30 +43,21 @@ class WordCounter:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known = np.zeros(0, dtype=np.uint64)
-        self.known_counts = np.zeros(0, dtype=np.int32)
+        self.known: dict[str, int] = {}
 
     def encode_counts(self, texts: list[str]) -> list[int]:
         return [len(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def counts(self, hashes: np.ndarray, words: Words, example: np.ndarray) -> np.ndarray:
-        """Tokens of distinct words, given by sorted hash and a place where each stands."""
-        at = np.searchsorted(self.known, hashes)
-        seen = np.zeros(len(hashes), dtype=bool)
-        inside = at < len(self.known)
-        seen[inside] = self.known[at[inside]] == hashes[inside]
-        out = np.empty(len(hashes), dtype=np.int32)
-        out[seen] = self.known_counts[at[seen]]
-        new = np.flatnonzero(~seen)
+    def counts(self, words: pa.Array) -> np.ndarray:
+        """Tokens of distinct words. A word is known by itself, so no two can be mistaken."""
+        strings = words.to_pylist()
+        if len(self.known) + len(strings) > REMEMBERED:
+            self.known = {}
+        new = [w for w in strings if w not in self.known]
         for low in range(0, len(new), 10_000):
             some = new[low : low + 10_000]
-            out[some] = self.encode_counts([words.word(w).decode() for w in example[some]])
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, self.known_counts = hashes, out
-        else:
-            self.known = np.insert(self.known, at[new], hashes[new])
-            self.known_counts = np.insert(self.known_counts, at[new], out[new])
-        return out
+            self.known.update(zip(some, self.encode_counts(some)))
+        return np.array([self.known[w] for w in strings], dtype=np.int32)
 
     def prefix(self, text: str) -> np.ndarray:
         """The tokens of every prefix of one text, by characters, from 0 to all of it."""
@@ -81,6 +72,15 @@ class WordCounter:
         return np.array(out)
 
 
+def _strings(words: Words) -> pa.Array:
+    """The words as an Arrow column."""
+    ends = np.append(0, np.cumsum(words.ends - words.starts)).astype(np.int32)
+    data = words.data[SPACED[words.data]]
+    return pa.Array.from_buffers(
+        pa.string(), len(words), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]
+    )
+
+
 _counters: dict[str, WordCounter] = {}
 
 
@@ -120,11 +120,8 @@ def count_prefixes(
         for batch in batches:
             for piece in pieces(batch, "_text"):
                 words = Words(piece.column("_text"), SPACED)
-                hashes = words.hashes()
-                distinct, places = distinct_places(hashes)
-                example = np.empty(len(distinct), dtype=np.int64)
-                example[places] = np.arange(len(places))
-                each = counter.counts(distinct, words, example)[places]
+                encoded = _strings(words).dictionary_encode()
+                each = counter.counts(encoded.dictionary)[encoded.indices.to_numpy()]
                 totals = np.concatenate(([0], np.cumsum(each)))
                 per_text = np.repeat(totals[words.first[:-1]], words.counts)
                 later = np.concatenate(([0], np.cumsum((words.data & 0xC0) == 0x80)))

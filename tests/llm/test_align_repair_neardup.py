@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from isospread.llm import align, neardup, repair
+from isospread.llm import align, neardup, repair, tokens
 from isospread.llm.queries import ALIGNED, tokenizer_file
 from isospread.llm.words import SPACED, Words
 
@@ -333,3 +333,14 @@ def test_word_hashes_have_no_rule():
     words = Words(pa.array([f"{one} {other} {one.upper()}"]), SPACED, fold=True)
     h = neardup.word_hashes(words)
     assert h[0] != h[1] and h[0] == h[2]
+
+
+def test_token_counts_of_words_that_share_hashes(spark):
+    signs = [bin(i).count("1") & 1 for i in range(1024)]
+    texts = ["".join(letters[s ^ k] for s in signs) for letters in ("1a", "an") for k in (0, 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = tokens.count_prefixes(docs, tokenizer_file(), ["doc_id"]).orderBy("doc_id").collect()
+    with open(tokenizer_file()) as file:
+        counter = tokens.WordCounter(file.read())
+    wanted = counter.encode_counts(texts)
+    assert [r.n_tokens for r in found] == wanted and len(set(wanted)) == 4
