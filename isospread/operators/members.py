@@ -6,12 +6,13 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from isospread.functions.physics import TBRT_ATTRS, brightness_temperature
 from isospread.operators.grids import GridCube
+from isospread.sources.storage import broadcast_if_small, settle
 
 MEMBER = "ensemble_member"
 
@@ -87,26 +88,40 @@ def concat_members(members: Mapping[str, DataFrame]) -> DataFrame:
     return whole.select(MEMBER, *(c for c in whole.columns if c != MEMBER))
 
 
+#: Members whose presence one number holds.
+WORD_BITS = 62
+
+
 def concat_members_dense(cube: DataFrame, variables: Sequence[str]) -> DataFrame:
     """Every member at every coordinate of any member, padded with NULL.
 
-    Each coordinate gathers its rows, one per member in a merged cube, and the members it lacks
-    are added on the spot: one shuffle, and nothing to join. A cell given twice stays twice. A
-    task holds the list of members and the rows of one coordinate.
+    Members are bit positions, and a coordinate holds the bitmap of those it has, which is combined
+    before the shuffle: rows of the cube are neither shuffled nor gathered. The rows of the members
+    that are missing are made from the bitmap. A cell given twice stays twice.
     """
     keys = [c for c in cube.columns if c not in (MEMBER, *variables)]
-    listed = cube.select(MEMBER).distinct().select(F.array_sort(F.collect_list(MEMBER))).scalar()
-    kinds = F.struct(*variables)
-    row = F.struct(F.col(MEMBER).alias("name"), kinds.alias("cell"))
-    gathered = cube.groupBy(*keys).agg(F.collect_list(row).alias("_rows"))
-    names = F.transform("_rows", lambda r: r["name"])
-    empty = F.struct(*(F.lit(None).cast(cube.schema[v].dataType).alias(v) for v in variables))
-    missing = F.transform(
-        F.array_except(F.col("_all"), names),
-        lambda name: F.struct(name.alias("name"), empty.alias("cell")),
+    numbered = settle(
+        cube.select(MEMBER).distinct().select(
+            MEMBER, (F.row_number().over(Window.orderBy(MEMBER)) - 1).alias("_bit")
+        )
     )
-    padded = gathered.withColumn("_all", listed).select(
-        *keys, F.explode(F.concat("_rows", missing)).alias("_row")
+    n = numbered.count()
+    if not n:
+        return cube.select(MEMBER, *keys, *variables)
+    numbers = broadcast_if_small(numbered)
+    words = range(-(-n // WORD_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_bit") % WORD_BITS).cast("int"))
+    of_word = F.floor(F.col("_bit") / WORD_BITS)
+    present = cube.join(numbers, MEMBER).groupBy(*keys).agg(
+        *(F.bit_or(F.when(of_word == w, bit)).alias(f"_word{w}") for w in words)
     )
-    cells = (F.col("_row")["cell"][v].alias(v) for v in variables)
-    return padded.select(F.col("_row")["name"].alias(MEMBER), *keys, *cells)
+    bitmap = F.array(*(F.coalesce(F.col(f"_word{w}"), F.lit(0).cast("long")) for w in words))
+
+    def absent(i: Column) -> Column:
+        word = F.get(bitmap, F.floor(i / WORD_BITS).cast("int"))
+        return F.getbit(word, (i % WORD_BITS).cast("int")) == 0
+
+    missing = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), absent)
+    rest = present.select(*keys, F.explode(missing).alias("_bit")).join(numbers, "_bit")
+    empty = (F.lit(None).cast(cube.schema[v].dataType).alias(v) for v in variables)
+    return cube.select(MEMBER, *keys, *variables).unionByName(rest.select(MEMBER, *keys, *empty))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isospread.functions.physics import null_if_nan
@@ -77,6 +77,29 @@ def label_members(cells: DataFrame, case_files: DataFrame) -> DataFrame:
     return cells.join(members, "path").select(MEMBER, *columns)
 
 
+def file_intervals(cells: DataFrame, of: Sequence[str] = ("var",)) -> DataFrame:
+    """The first and last time of each file: a catalogue of intervals, one row for each path and
+    the columns in ``of``. Settle it; files without times are left out."""
+    return (
+        cells.where(F.col("time").isNotNull())
+        .groupBy(*of, "path")
+        .agg(F.min("time").alias("first_time"), F.max("time").alias("last_time"))
+    )
+
+
+def overlapping_pieces(intervals: DataFrame, of: Sequence[str] = ("var",)) -> DataFrame:
+    """Files that begin before or when an earlier one of the same member and variable ends.
+
+    Works on the catalogue of intervals alone and reads no cell: in order of their first times a
+    file overlaps if it begins no later than the latest end of all before it, a running maximum.
+    Returns the catalogue's columns with that end as ``covered_until``. Of files with the same
+    first time the first by path is the earlier one.
+    """
+    before = Window.partitionBy(*of).orderBy("first_time", "path").rowsBetween(Window.unboundedPreceding, -1)
+    found = intervals.withColumn("covered_until", F.max("last_time").over(before))
+    return found.where(F.col("first_time") <= F.col("covered_until"))
+
+
 def concat_time_pieces(pieces: Sequence[DataFrame], check: bool = True) -> DataFrame:
     """Put pieces of the same variables one after another in time.
 

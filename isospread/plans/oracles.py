@@ -213,6 +213,15 @@ ORACLES = {
         f"""SELECT {CELL}, CASE WHEN ensemble_member < 'l' THEN FLNT * 2 ELSE FLNT END AS FLNT,
               {TBRT} AS TBRT FROM fx_cube""",
     ),
+    "overlapping_pieces": _one(
+        "fx_cube_long",
+        """, spans AS (SELECT ensemble_member, var, path, min(time) AS first_time,
+               max(time) AS last_time FROM fx_cube_long GROUP BY ALL)
+           SELECT a.*, max(b.last_time) AS covered_until FROM spans a JOIN spans b
+             ON a.ensemble_member = b.ensemble_member AND a.var = b.var
+               AND (b.first_time, b.path) < (a.first_time, a.path)
+           GROUP BY ALL HAVING a.first_time <= max(b.last_time)""",
+    ),
     "concat_time_pieces": _one(
         "fx_cells",
         f""", {CELL_FILES}, {_le_cases('files')}, {_assigned('files')}

@@ -197,6 +197,14 @@ def member_sink_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(results.read_committed(spark, path, analysed.schema), "TBRT")
 
 
+@query
+def overlapping_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of each member and variable that overlap in time, by the catalogue of intervals."""
+    of = [merge.MEMBER, "var"]
+    cells = fixture(spark, sf_dir, "fx_cube_long")
+    return merge.overlapping_pieces(settle(merge.file_intervals(cells, of)), of)
+
+
 @query
 def concat_time_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = _labelled(spark, sf_dir).drop("path")

@@ -94,6 +94,26 @@ def test_no_cells_at_all(cells):
     assert none.columns == ["ensemble_member", "time", "lev", "lat", "lon", "T", "FLNT"] and none.count() == 0
 
 
+def test_pieces_overlap_by_their_intervals(spark):
+    rows = [("m", "T", p, DAY + dt.timedelta(days=d)) for p, a, b in (
+        ("long", 0, 30), ("inside", 3, 4), ("touching", 30, 31), ("apart", 40, 50), ("same", 40, 41),
+    ) for d in (a, b)]
+    cells = spark.createDataFrame([*rows, ("m", "T", "timeless", None)], "m string, var string, path string, time timestamp_ntz")
+    of = ["m", "var"]
+    found = merge.overlapping_pieces(merge.file_intervals(cells, of), of)
+    assert {r.path: (r.covered_until - DAY).days for r in found.collect()} == {"inside": 30, "touching": 30, "same": 50}
+
+
+def test_dense_cube_of_many_members_gathers_no_rows(spark):
+    rows = [(f"{m:03d}", DAY, float(x), 1.0) for m in range(130) for x in range(4) if (m * x) % 7 < 3]
+    cube = spark.createDataFrame(rows, "ensemble_member string, time timestamp_ntz, lat double, FLNT double")
+    dense = members.concat_members_dense(cube, ["FLNT"])
+    assert dense.count() == 130 * 4 and dense.where("FLNT IS NOT NULL").count() == len(rows)
+    assert dense.select("ensemble_member", "lat").distinct().count() == 130 * 4
+    assert "collect_list" not in dense._jdf.queryExecution().optimizedPlan().toString()
+    assert members.concat_members_dense(cube.limit(0), ["FLNT"]).count() == 0
+
+
 def test_a_run_hands_several_grids_to_the_user(spark, cells):
     files = cells.select(F.col("ensemble_member").alias("casename"), "path").distinct()
     options = RunOptions("CESM1-LE", "month_1", ["T", "FLNT"], skip_preprocess=False)
