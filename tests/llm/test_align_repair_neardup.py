@@ -13,7 +13,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from isospread.llm import align, neardup, repair, tokens
+import corpus_pipeline
+from isospread.llm import align, decontam, neardup, repair, tokens, toxicity
 from isospread.llm.queries import ALIGNED, tokenizer_file
 from isospread.llm.words import SPACED, Words
 
@@ -344,3 +345,26 @@ def test_token_counts_of_words_that_share_hashes(spark):
         counter = tokens.WordCounter(file.read())
     wanted = counter.encode_counts(texts)
     assert [r.n_tokens for r in found] == wanted and len(set(wanted)) == 4
+
+
+# pipeline stages
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Columns named like those that the operators add, or use inside, keep their values."""
+    names = [*toxicity.FIELDS.names, *decontam.FIELDS.names, "n_lines", "removed", "kept_text", "_text", "_id", "_hash", "_key", "class_id"]
+    names = list(dict.fromkeys(n for n in names if n not in ("doc_id", "text")))
+    words = " ".join(f"w{i}" for i in range(40))
+    texts = [words, words + " more", "one line\none line", None, "", "a clean text"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], schema)
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    spark.createDataFrame([(i, 1, 0) for i in range(6)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([("i", "nothing of this")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        done = stage(spark, docs, str(tmp_path))
+        assert done.columns == docs.columns, name
+        rows = done.collect()
+        assert len(rows) >= 4, name
+        assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names), name
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
