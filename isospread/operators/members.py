@@ -63,6 +63,30 @@ def apply_groups(
     return require_member(df.groupBy(*keys).applyInPandas(function, schema), "the group function")
 
 
+def apply_group_batches(
+    df: DataFrame,
+    function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+    schema: StructType | str,
+    within: Sequence[str],
+    order: Sequence[str] = ("time",),
+) -> DataFrame:
+    """Apply a function to whole groups of one member, handed on in batches and in order.
+
+    A group may be longer than a task's memory: the function gets an iterator of its batches, sorted
+    by ``order``, and yields results as it goes. What it keeps between batches is its own affair.
+    Rows are shuffled and sorted once.
+    """
+    if not within:
+        raise ValueError("name keys that divide a member, e.g. ['lat', 'lon']")
+    keys = [MEMBER, *within]
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from function(batches)
+
+    ordered = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    return require_member(ordered.groupBy(*keys).applyInPandas(each, schema), "the group function")
+
+
 def brightness(cube: DataFrame | GridCube) -> DataFrame:
     """The sample analysis: ``FLNT`` and the brightness temperature ``TBRT`` made from it.
 

@@ -287,6 +287,12 @@ ORACLES = {
               SELECT {CELL}, FLNT * 2 AS FLNT FROM fx_cube WHERE lat BETWEEN 8 AND 90) c""",
     ),
     "apply_per_member_pandas": _one("fx_cube", f"SELECT {CELL}, FLNT, {TBRT} AS TBRT FROM fx_cube"),
+    "apply_running_mean": _one(
+        "fx_cube",
+        """SELECT ensemble_member, time, lat, lon, round(avg(FLNT) OVER (
+             PARTITION BY ensemble_member, lat, lon ORDER BY time ROWS 2 PRECEDING), 6) AS FLNT
+           FROM fx_cube""",
+    ),
     "pressure_from_hybrid": _one(
         "fx_hybrid",
         """SELECT col_id, lev, value, round(hyam * 100000 + hybm * ps, 6) AS pressure

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
@@ -350,6 +350,24 @@ def apply_groups_below_maximum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.apply_groups(cube, _below_maximum, cube.schema, ["lat", "lon"])
 
 
+def _running_mean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The mean of each value and the two before it; two rows are kept between batches."""
+    before = None
+    for batch in batches:
+        joined = batch if before is None else pd.concat([before, batch])
+        mean = joined["FLNT"].rolling(3, min_periods=1).mean()
+        yield batch.assign(FLNT=mean.iloc[len(joined) - len(batch) :])
+        before = joined.tail(2)
+
+
+@query
+def apply_running_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell's time series of every member, batch by batch."""
+    cube = fixture(spark, sf_dir, "fx_cube")
+    found = members.apply_group_batches(cube, _running_mean, cube.schema, ["lat", "lon"])
+    return _rounded(found, "FLNT")
+
+
 @query
 def pressure_from_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = fixture(spark, sf_dir, "fx_hybrid")

@@ -114,6 +114,30 @@ def test_dense_cube_of_many_members_gathers_no_rows(spark):
     assert members.concat_members_dense(cube.limit(0), ["FLNT"]).count() == 0
 
 
+def test_groups_larger_than_a_batch_come_in_order(spark):
+    rows = [(m, DAY + dt.timedelta(hours=(7 * i) % 100), 1.0, 2.0, float((7 * i) % 100)) for i in range(100) for m in ("a", "b")]
+    cube = spark.createDataFrame(rows, "ensemble_member string, time timestamp_ntz, lat double, lon double, FLNT double")
+
+    def counted(batches):
+        before, n = -1.0, 0
+        for batch in batches:
+            n += 1
+            assert batch["FLNT"].is_monotonic_increasing and batch["FLNT"].iloc[0] > before and len(batch) <= 10
+            before = batch["FLNT"].iloc[-1]
+            yield batch.assign(FLNT=float(n))
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10")
+    try:
+        found = members.apply_group_batches(cube, counted, cube.schema, ["lat", "lon"]).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(found) == 200 and max(r.FLNT for r in found) == 10
+    with pytest.raises(ValueError, match="divide a member"):
+        members.apply_group_batches(cube, counted, cube.schema, [])
+
+
 def test_a_run_hands_several_grids_to_the_user(spark, cells):
     files = cells.select(F.col("ensemble_member").alias("casename"), "path").distinct()
     options = RunOptions("CESM1-LE", "month_1", ["T", "FLNT"], skip_preprocess=False)
