@@ -529,6 +529,6 @@ def test_every_query_is_registered():
     from __spark_entry__ import oracle_sql, queries
 
     names = {q.split("_")[0] for q in QUERIES}
-    assert names == {f"op{i}" for i in range(1, 11)}
+    assert names == {f"op{i}" for i in range(1, 14)}
     assert QUERIES.keys() | {"pipeline"} <= queries().keys()
     assert ORACLES.keys() <= oracle_sql().keys()
