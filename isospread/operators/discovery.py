@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from isospread import registry
 from isospread.functions import text
 from isospread.registry import CASE_DELIMITER, Ensemble, resolve_ensemble
+from isospread.sources.storage import broadcast_if_small, settle
+
+#: Characters of a gram by which a longer text is looked up.
+GRAM = 8
 
 
 def keep_containing(df: DataFrame, column: str, token: str) -> DataFrame:
@@ -68,37 +72,61 @@ def case_names(files: DataFrame, ensemble: str | Ensemble) -> DataFrame:
     return kept.select(name.alias("casename")).distinct()
 
 
+def _grams(df: DataFrame, column: str, lengths: Column) -> DataFrame:
+    """A row for each place and each of the ``lengths``, with the hash of the text there."""
+    whole = F.col(column)
+    return (
+        df.withColumn("_length", F.explode(lengths))
+        .filter(F.length(whole) >= F.col("_length"))
+        .withColumn("_place", F.explode(F.sequence(F.lit(1), F.length(whole) - F.col("_length") + 1)))
+        .withColumn("_gram", F.xxhash64(F.substring(whole, F.col("_place"), F.col("_length"))))
+        .drop("_length", "_place")
+    )
+
+
 def contains_pairs(
     hay: DataFrame, hay_column: str, needles: DataFrame, needle_column: str, on: Iterable[str] = ()
 ) -> DataFrame:
-    """Join rows of ``hay`` to the ``needles`` their text contains, as an equi-join.
-
-    ``contains`` alone is no join key, so it would compare every row with every needle. Needles
-    have few distinct lengths and first characters: cutting the text, wherever such a character
-    stands, into pieces of those lengths turns containment into equality, exactly, and the join
-    can be hashed, shuffled or broadcast. A pair comes out once for each place of the needle.
-    Empty needles match nothing.
-
-    The lengths and first characters, both bounded by what a name can be, are looked up first,
-    so pass the needles settled. A catalogue is small in bytes but grows while it is cut, so it
-    is spread over all cores.
+    """Join distinct rows of ``hay`` to the distinct ``needles`` their text contains.
+
+    ``contains`` alone is no join key, so it would compare every row with every needle. Each
+    needle is instead indexed by that one of its grams of ``GRAM`` characters which is rarest in
+    ``hay``, or by the whole of a shorter needle; a needle with a gram that is nowhere in ``hay``
+    is left out at once. Texts are cut into grams of the same lengths, and equal grams give
+    candidates, whose text is fetched by its hash and tested. Cut rows and candidates carry
+    hashes rather than texts; since the text itself is tested, hashes that clash cost time only.
+
+    A pair comes out once for each place of its gram. Missing texts and empty needles match nothing.
+    The lengths, at most ``GRAM`` numbers, are looked up first, so pass the needles settled; the
+    index is settled here, and broadcast only if it is small. A catalogue is small in bytes but
+    grows while it is cut, so it is settled too, spread over all shuffle partitions.
     """
-    needle, whole = F.col(needle_column), F.col(hay_column)
-    shape = needles.filter(F.length(needle) > 0).agg(
-        F.collect_set(F.length(needle)).alias("lengths"),
-        F.collect_set(F.left(needle, F.lit(1))).alias("heads"),
-    ).first()
-    lengths = F.array(*map(F.lit, shape.lengths)).cast("array<int>")
-    pieces = (
-        hay.repartition(hay_column)
-        .select("*", F.posexplode(F.split(whole, "")).alias("_place", "_head"))
-        .filter(F.col("_head").isin(shape.heads))
-        .withColumn("_length", F.explode(lengths))
-        .filter(F.col("_place") + F.col("_length") <= F.length(whole))
-        .withColumn(needle_column, F.substring(whole, F.col("_place") + 1, F.col("_length")))
-        .drop("_place", "_head", "_length")
+    on = [*on]
+    wanted = needles.filter(F.length(needle_column) > 0).withColumn(
+        "_cut", F.least(F.length(needle_column), F.lit(GRAM))
+    )
+    found = wanted.agg(F.collect_set("_cut").alias("lengths")).first().lengths
+    lengths = F.array(*map(F.lit, sorted(found))).cast("array<int>")
+
+    tasks = int(hay.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = settle(hay.distinct().withColumn("_row", F.xxhash64(hay_column)).repartition(tasks, "_row"))
+    cut = _grams(texts, hay_column, lengths).select(*on, "_row", "_gram")
+    counts = cut.groupBy(*on, "_gram").agg(F.count("*").alias("_n"))
+    rarest = F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram")))
+    index = (
+        _grams(wanted, needle_column, F.array("_cut"))
+        .join(counts, [*on, "_gram"], "left")
+        .groupBy(*needles.columns)
+        .agg(rarest.alias("_rarest"))
+        .filter("_rarest.n > 0")
+        .select(*needles.columns, F.col("_rarest.gram").alias("_gram"))
+    )
+    candidates = cut.join(broadcast_if_small(settle(index)), [*on, "_gram"]).drop("_gram")
+    return (
+        candidates.join(texts, [*on, "_row"])
+        .filter(F.contains(F.col(hay_column), F.col(needle_column)))
+        .drop("_row")
     )
-    return pieces.join(needles, [*on, needle_column])
 
 
 def _glue(pairs: DataFrame, keys: list[str]) -> DataFrame:

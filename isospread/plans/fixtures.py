@@ -2,7 +2,8 @@
 
 Each is one SQL text for both engines; only the names of the zone-less timestamp type and of
 the function that makes rows of an array differ.
-All are deterministic and read their whole table; catalogues grow up to the number of distinct names.
+All are deterministic and read their whole table; catalogues grow up to the number of distinct names,
+which is bounded for all but ``fx_catalog_runs``.
 """
 
 from __future__ import annotations
@@ -27,6 +28,20 @@ SELECT concat('/data/', var, '/', fname) AS path, var, fname FROM (
 GROUP BY var, fname
 """
 
+# Runs whose names grow in number with the customers. Letters stand for a customer's digits, but
+# for some, so that a member number stands in other runs as well.
+CATALOG_RUNS = """
+SELECT concat('/data/', var, '/', fname) AS path, var, fname FROM (
+  SELECT var, concat('b.e11.',
+    CASE WHEN o_orderkey % 2 = 0 THEN 'B20TRC5CNBDRD' ELSE 'BRCP85C5CNBDRD' END, '.f09_g16.',
+    CASE WHEN o_custkey % 97 = 0 THEN cast(o_custkey AS STRING)
+         ELSE translate(cast(o_custkey AS STRING), '0123456789', 'abcdefghij') END,
+    '.', lpad(cast(o_custkey % 1000 AS STRING), 3, '0'), '.cam.h0.', var, '.',
+    cast(year(o_orderdate) * 100 + month(o_orderdate) AS STRING), '.nc') AS fname
+  FROM (SELECT *, CASE o_orderkey % 5 WHEN 0 THEN 'FLNT' ELSE 'T' END AS var FROM {orders}) o) f
+GROUP BY var, fname
+"""
+
 # Single-forcing runs whose scenario half carries another name; xAER is unpaired.
 CATALOG_FORCING = """
 SELECT concat('/data/T/', fname) AS path, 'T' AS var, fname FROM (
@@ -147,6 +162,7 @@ FROM {events}
 
 FIXTURES = {
     "fx_catalog": CATALOG,
+    "fx_catalog_runs": CATALOG_RUNS,
     "fx_catalog_forcing": CATALOG_FORCING,
     "fx_catalog_left_out": CATALOG_LEFT_OUT,
     "fx_requests": REQUESTS,

@@ -152,6 +152,9 @@ ORACLES = {
              FROM numbers JOIN kept USING (f) WHERE contains(c, n) GROUP BY f, n
              UNION ALL SELECT c FROM names WHERE contains(c, 'xAER')) u""",
     ),
+    "pair_cases_runs": _one(
+        "fx_catalog_runs", f", {_le_cases('fx_catalog_runs')} SELECT casename FROM cases"
+    ),
     "pair_cases_exact": _one(
         "fx_catalog",
         "SELECT string_agg(c, '&&' ORDER BY c) AS casename FROM ("
@@ -174,6 +177,11 @@ ORACLES = {
             files AS (SELECT * FROM fx_catalog WHERE contains(fname, '.nc')), {_assigned('files')}
             SELECT * FROM case_files""",
     ),
+    "assign_files_runs": _one(
+        "fx_catalog_runs",
+        f""", {_le_cases('fx_catalog_runs')}, {_assigned('fx_catalog_runs')}
+            SELECT * FROM case_files""",
+    ),
     "assign_files_exact": _one(
         "fx_catalog",
         f""", {_le_cases('fx_catalog')},

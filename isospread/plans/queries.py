@@ -114,6 +114,12 @@ def pair_cases_sf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.discover_cases(fixture(spark, sf_dir, "fx_catalog_forcing"), options)
 
 
+@query
+def pair_cases_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairing where the number of runs grows with the table."""
+    return run.discover_cases(fixture(spark, sf_dir, "fx_catalog_runs"), CELL_OPTIONS)
+
+
 @query
 def pair_cases_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.pair_cases(case_names(spark, sf_dir), LE, match="exact")
@@ -138,6 +144,14 @@ def assign_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.case_files_of(catalog, cases, CATALOG_OPTIONS)
 
 
+@query
+def assign_files_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of runs whose number grows with the table."""
+    catalog = fixture(spark, sf_dir, "fx_catalog_runs")
+    cases = settle(run.discover_cases(catalog, CELL_OPTIONS))
+    return run.case_files_of(catalog, cases, CELL_OPTIONS)
+
+
 @query
 def assign_files_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = discovery.keep_extension(fixture(spark, sf_dir, "fx_catalog"))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from isospread import RunOptions, resolve_ensemble
@@ -188,6 +190,63 @@ def test_containment_joins_are_hashed(spark):
     assert no_nested_loops(assign.assign_files(files(spark, "b.A.001.nc"), names))
 
 
+def test_containment_equals_brute_force_for_needles_of_all_lengths(spark):
+    rng = random.Random(5)
+    def some(n):
+        return "".join(rng.choice("abé.") for _ in range(n))
+    hay = [None, "", *(some(rng.randrange(1, 40)) for _ in range(150))]
+    needles = [None, "", "zzzzzzzzzz", *(some(n) for n in (1, 2, 3, 7, 8, 9, 12) for _ in range(6))]
+    needles += [h[a:a + 9] for h in hay[2:60] if len(h) > 12 for a in (0, 3, len(h) - 9)]
+    rows = spark.createDataFrame([(h,) for h in hay + hay[:30]], "t STRING")
+    wanted = spark.createDataFrame([(n,) for n in needles + needles[:20]], "s STRING")
+    found = discovery.contains_pairs(rows, "t", wanted, "s").distinct().collect()
+    expected = {(h, n) for h in hay if h for n in needles if n and n in h}
+    assert len(found) == len(expected)
+    assert {(r.t, r.s) for r in found} == expected
+
+
+def test_containment_keeps_within_its_keys(spark):
+    rows = spark.createDataFrame(
+        [("x", "run.001"), ("y", "run.001"), (None, "run.001"), ("y", "run.002")], "k STRING, t STRING"
+    )
+    wanted = spark.createDataFrame([("y", "001"), (None, "001"), ("z", "002")], "k STRING, s STRING")
+    found = discovery.contains_pairs(rows, "t", wanted, "s", ["k"]).select("k", "t", "s")
+    assert sorted(map(tuple, found.collect())) == [("y", "run.001", "001")]
+
+
+def test_needles_that_share_common_grams_are_looked_up_by_their_rare_ones(spark):
+    head = "b.e11.B20TRC5CNBDRD.f09_g16."
+    hay = spark.range(3000).selectExpr(f"concat('{head}', lpad(id, 6, '0'), '.cam.h0.T.nc') AS t")
+    wanted = spark.range(3000).selectExpr(f"concat('{head}', lpad(id, 6, '0')) AS s")
+    found = discovery.contains_pairs(hay, "t", wanted, "s")
+    assert len(found.collect()) == 3000
+    plan = found._jdf.queryExecution().executedPlan()
+    joined = [n for n in _nodes(plan) if n.nodeName() in ("BroadcastHashJoin", "SortMergeJoin")]
+    candidates = max(n.metrics().apply("numOutputRows").value() for n in joined)
+    assert 3000 <= candidates <= 4 * 3000
+
+
+def _nodes(plan):
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _nodes(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return _nodes(plan.plan())
+    children = plan.children()
+    below = [_nodes(children.apply(i)) for i in range(children.size())]
+    return [plan, *(n for nodes in below for n in nodes)]
+
+
+def test_no_text_is_shuffled_with_the_pieces(spark):
+    hay = spark.range(50).selectExpr("concat('b.e11.run.', id) AS t")
+    wanted = spark.range(50).selectExpr("concat('e11.run.', id) AS s")
+    plan = discovery.contains_pairs(hay, "t", wanted, "s")._jdf.queryExecution()
+    cut = [n for n in _nodes(plan.sparkPlan()) if n.nodeName() == "Project" and "_gram" in
+           [n.output().apply(i).name() for i in range(n.output().size())]]
+    assert cut
+    for node in cut:
+        assert "t" not in [node.output().apply(i).name() for i in range(node.output().size())]
+
+
 def test_listing_a_folder(spark, tmp_path):
     for var, name in (("T", "b1.nc"), ("T", "b1.nc.tmp"), ("T", "b1.txt"), ("PS", "b2.nc")):
         (tmp_path / var).mkdir(exist_ok=True)
