@@ -39,6 +39,8 @@ EVIDENCE = 15
 BLOCK = 64
 #: Texts that are scored together.
 GROUP = 32
+#: Bytes of text whose terms are found together; several workers do so beside an executor.
+PIECE_BYTES = 1 << 20
 #: Blocks that give the first threshold.
 FIRST = 2
 #: Terms in at least one of so many entries are frequent.
@@ -343,7 +345,7 @@ def fit(
 
     def spread(batches):
         for batch in batches:
-            for piece in pieces(batch, "_text"):
+            for piece in pieces(batch, "_text", PIECE_BYTES):
                 of, hashes, times = _counted(piece.column("_text"))
                 cuts = np.searchsorted(of, np.arange(piece.num_rows + 1))
                 spans = list(zip(cuts[:-1], cuts[1:]))
@@ -380,7 +382,7 @@ def fit(
         total, count = np.zeros(len(terms) + 1, dtype=np.int64), 0
         for batch in batches:
             count += batch.num_rows
-            for piece in pieces(batch, "_text"):
+            for piece in pieces(batch, "_text", PIECE_BYTES):
                 total += np.bincount(_known(piece.column("_text"), terms)[1], minlength=len(total))
         total[-1] = count
         have = np.flatnonzero(total)
@@ -411,7 +413,7 @@ def fit(
 
         def own(batches):
             for batch in batches:
-                for piece in pieces(batch, "_text"):
+                for piece in pieces(batch, "_text", PIECE_BYTES):
                     vectors = _vectors(piece.column("_text"), fitted.value.terms)
                     labels = piece.column("_label").to_pylist()
                     odds = [v[0] for v in fitted.value.votes(vectors, labels)]
@@ -445,7 +447,7 @@ def score(docs: DataFrame, index: Index, keep: list[str], text: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            for piece in pieces(batch, "_text"):
+            for piece in pieces(batch, "_text", PIECE_BYTES):
                 n = piece.num_rows
                 if len(index.example):
                     voted = list(index.votes(_vectors(piece.column("_text"), index.terms)))
