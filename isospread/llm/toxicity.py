@@ -37,10 +37,10 @@ NEIGHBOURS = 15
 #: Entries of the index that are named as evidence.
 EVIDENCE = 15
 BLOCK = 64
-#: Texts that are scored together.
-GROUP = 32
+#: Texts that are scored together, which shares the work for a block but holds all their products.
+GROUP = 16
 #: Bytes of text whose terms are found together; several workers do so beside an executor.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 #: Blocks that give the first threshold.
 FIRST = 2
 #: Terms in at least one of so many entries are frequent.
@@ -145,13 +145,13 @@ class Postings:
         return self._weight
 
     def __getitem__(self, term: np.ndarray) -> np.ndarray:
-        """Some rows in full."""
-        lengths = self.cuts[term + 1] - self.cuts[term]
-        at = _stretches(self.cuts[term], lengths)
+        """Some rows in full; in memory, the weights of an entry stand together."""
         weight = self.weight
-        out = np.zeros((len(term), self.width))
-        out[np.repeat(np.arange(len(term)), lengths), self.entry[at]] = weight[at]
-        return out
+        out = np.zeros((self.width, len(term)))
+        for column, t in enumerate(term):
+            span = slice(self.cuts[t], self.cuts[t + 1])
+            out[self.entry[span], column] = weight[span]
+        return out.T
 
 
 class Index:
