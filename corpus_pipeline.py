@@ -17,6 +17,18 @@ from isospread.sources.storage import scratch_path
 
 #: The column with a text's length while a stage works.
 LENGTH = "__n_chars"
+#: Rows that go to a Python worker at once, and the setting. Spark's 10,000 documents take some
+#: 20 MB, which an executor holds several times for each core: beside the vectors, in the message,
+#: and in the worker.
+BATCH_ROWS = 1_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows of a batch to ``BATCH_ROWS``; no result depends on them."""
+    rows = int(spark.conf.get(BATCH_SETTING))
+    if not 0 < rows <= BATCH_ROWS:  # 0 and less mean no bound
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
 def _apart(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -30,7 +42,11 @@ def _apart(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents whose toxicity score is 0.5 or more."""
+    """Without documents whose toxicity score is 0.5 or more.
+
+    The session keeps the smaller batches that this stage sets, for the later stages too.
+    """
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     crc = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0))
 
