@@ -72,6 +72,10 @@ class Polynomial:
     def __init__(self, base: int):
         self.base = base | 1
         self.inverse = pow(self.base, -1, 1 << 64)
+        self.forget()
+
+    def forget(self) -> None:
+        """Let go of the powers, which grow with the longest run so far."""
         self._powers = self._inverses = np.ones(1, dtype=U64)
 
     def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,6 +106,12 @@ WORD_RUNS_2 = Polynomial(0xA0761D6478BD642F)
 _TABLE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
 
+def forget_powers() -> None:
+    """Let go of the powers of all bases; they are made again where they are needed."""
+    for base in (_BYTES, WORD_RUNS, WORD_RUNS_2):
+        base.forget()
+
+
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and its offsets, one more than rows; null counts as empty."""
     if texts.null_count:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -21,6 +22,7 @@ from isospread.llm import (
     linededup,
     lm,
     maxscore,
+    memory,
     mix,
     substring,
     tokens,
@@ -525,6 +527,39 @@ def test_pipeline(spark):
     assert sorted(mixed.doc_id) == sorted(r.doc_id for r in rows) and mixed.taken.sum() > 0
 
 
+def test_pipeline_keeps_one_set_of_workers(spark):
+    """RDD and DataFrame stages use workers of one daemon."""
+
+    def parents(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([os.getppid()])], ["pid"])
+
+    before = {k: spark.conf.get(k) for k in (corpus_pipeline.BATCH_SETTING, corpus_pipeline.TRACEBACK_SETTING)}
+    try:
+        docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+        corpus_pipeline.drop_toxic(spark, docs, "/root/testdata/sf0.001")
+        by_frame = {r.pid for r in spark.range(4).mapInArrow(parents, "pid long").collect()}
+        by_rdd = set(spark.sparkContext.range(4).map(lambda _: os.getppid()).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert by_frame == by_rdd and len(by_rdd) == 1
+
+
+def test_powers_go_with_the_task():
+    texts = pa.array(["ab cd " * 5_000])
+
+    def hashed(batches):
+        for text in batches:
+            found = words.Words(text)
+            yield words.run_hashes(found.hashes(), np.array([0, 7]), np.array([9_000, 9_999]))
+
+    first, again = (np.concatenate(list(memory.give_back(hashed)(iter([texts])))) for _ in range(2))
+    assert (first == again).all()
+    for base in (words._BYTES, words.WORD_RUNS, words.WORD_RUNS_2):
+        assert len(base._powers) == len(base._inverses) == 1
+
+
 def test_every_query_is_registered():
     from __spark_entry__ import oracle_sql, queries
 
