@@ -137,6 +137,7 @@ def normal(df):
 
 QUERIES_THAT_SETTLE = [
     "op1_mix_sources",
+    "op3_toxicity",
 ]
 
 
