@@ -138,6 +138,7 @@ def normal(df):
 QUERIES_THAT_SETTLE = [
     "op1_mix_sources",
     "op3_toxicity",
+    "op8_jaccard_join",
 ]
 
 
