@@ -140,6 +140,7 @@ QUERIES_THAT_SETTLE = [
     "op3_toxicity",
     "op8_jaccard_join",
     "op12_conversation_repair",
+    "op13_sketch_near_copies",
 ]
 
 
