@@ -141,6 +141,7 @@ QUERIES_THAT_SETTLE = [
     "op8_jaccard_join",
     "op12_conversation_repair",
     "op13_sketch_near_copies",
+    "assign_files",
 ]
 
 
