@@ -142,6 +142,7 @@ QUERIES_THAT_SETTLE = [
     "op12_conversation_repair",
     "op13_sketch_near_copies",
     "assign_files",
+    "assign_files_exact",
 ]
 
 
