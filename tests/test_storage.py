@@ -143,6 +143,7 @@ QUERIES_THAT_SETTLE = [
     "op13_sketch_near_copies",
     "assign_files",
     "assign_files_exact",
+    "assign_files_runs",
 ]
 
 
