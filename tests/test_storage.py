@@ -144,6 +144,7 @@ QUERIES_THAT_SETTLE = [
     "assign_files",
     "assign_files_exact",
     "assign_files_runs",
+    "case_list_roundtrip",
 ]
 
 
