@@ -145,6 +145,7 @@ QUERIES_THAT_SETTLE = [
     "assign_files_exact",
     "assign_files_runs",
     "case_list_roundtrip",
+    "concat_members",
 ]
 
 
