@@ -148,6 +148,7 @@ QUERIES_THAT_SETTLE = [
     "concat_members",
     "concat_members_dense",
     "ensemble_brightness",
+    "concat_time_pieces",
 ]
 
 
