@@ -149,6 +149,7 @@ QUERIES_THAT_SETTLE = [
     "concat_members_dense",
     "ensemble_brightness",
     "concat_time_pieces",
+    "ensemble_brightness_test",
 ]
 
 
