@@ -151,6 +151,7 @@ QUERIES_THAT_SETTLE = [
     "concat_time_pieces",
     "ensemble_brightness_test",
     "first_n_timesteps",
+    "files_per_case",
 ]
 
 
