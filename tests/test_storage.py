@@ -152,6 +152,7 @@ QUERIES_THAT_SETTLE = [
     "ensemble_brightness_test",
     "first_n_timesteps",
     "files_per_case",
+    "member_scan",
 ]
 
 
