@@ -153,6 +153,7 @@ QUERIES_THAT_SETTLE = [
     "first_n_timesteps",
     "files_per_case",
     "member_scan",
+    "member_scan_pruned",
 ]
 
 
