@@ -154,6 +154,7 @@ QUERIES_THAT_SETTLE = [
     "files_per_case",
     "member_scan",
     "member_scan_pruned",
+    "member_sink",
 ]
 
 
