@@ -155,6 +155,7 @@ QUERIES_THAT_SETTLE = [
     "member_scan",
     "member_scan_pruned",
     "member_sink",
+    "member_sink_rerun",
 ]
 
 
