@@ -156,6 +156,7 @@ QUERIES_THAT_SETTLE = [
     "member_scan_pruned",
     "member_sink",
     "member_sink_rerun",
+    "members_without_files",
 ]
 
 
