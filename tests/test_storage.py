@@ -157,6 +157,7 @@ QUERIES_THAT_SETTLE = [
     "member_sink",
     "member_sink_rerun",
     "members_without_files",
+    "output_names",
 ]
 
 
