@@ -158,6 +158,7 @@ QUERIES_THAT_SETTLE = [
     "member_sink_rerun",
     "members_without_files",
     "output_names",
+    "merge_override",
 ]
 
 
