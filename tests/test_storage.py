@@ -159,6 +159,7 @@ QUERIES_THAT_SETTLE = [
     "members_without_files",
     "output_names",
     "merge_override",
+    "overlapping_pieces",
 ]
 
 
