@@ -160,6 +160,7 @@ QUERIES_THAT_SETTLE = [
     "output_names",
     "merge_override",
     "overlapping_pieces",
+    "pair_cases_le",
 ]
 
 
