@@ -161,6 +161,7 @@ QUERIES_THAT_SETTLE = [
     "merge_override",
     "overlapping_pieces",
     "pair_cases_le",
+    "pair_cases_runs",
 ]
 
 
