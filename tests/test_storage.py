@@ -162,6 +162,7 @@ QUERIES_THAT_SETTLE = [
     "overlapping_pieces",
     "pair_cases_le",
     "pair_cases_runs",
+    "pressure_from_hybrid",
 ]
 
 
