@@ -163,6 +163,7 @@ QUERIES_THAT_SETTLE = [
     "pair_cases_le",
     "pair_cases_runs",
     "pressure_from_hybrid",
+    "pair_cases_sf",
 ]
 
 
