@@ -139,6 +139,7 @@ QUERIES_THAT_SETTLE = [
     "op1_mix_sources",
     "op3_toxicity",
     "op8_jaccard_join",
+    "op11_align_tokenizers",
     "op12_conversation_repair",
     "op13_sketch_near_copies",
     "assign_files",
